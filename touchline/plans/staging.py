@@ -98,10 +98,11 @@ def stage_matches(raw: DataFrame, as_of: Column) -> DataFrame:
 
 
 def stage_teams(raw: DataFrame) -> DataFrame:
+    """One row per team; of several competitions the one with the smallest id is kept."""
     named = corrected(F.lit(None).cast("date"), "name", v.FOUNDATION_BY_TEAM)
     founded = F.when(F.col("founded").isNull(), named).otherwise(year_to_date("founded"))
     return typed(
-        any_row(raw, ["id"]),
+        any_row(raw, ["id"], ties=["competition.id"]),
         {
             "team_id": ("id", "string"),
             "team_name": ("name", "string"),
