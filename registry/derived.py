@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.register import table
+from touchline.sources.tables import scratch_table
 
 # first letter of the order priority -> competition id
 COMPETITION_IDS = {"1": 2001, "2": 2013, "3": 2021, "4": 2015, "5": 2152}
@@ -92,6 +93,15 @@ def matches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The matches as a table of their own, for queries that read them more than once.
+
+    The size checks of ordered groups read the keys first: out of a table that is a column
+    scan, while the joins behind the matches would be done twice.
+    """
+    return scratch_table(matches(spark, folder), "matches")
+
+
 SQL_MATCHES = f"""{SQL_PAIRINGS}, matches AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS match_id, {SQL_PLAYED_AT} AS match_at,
          CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'awarded' ELSE 'timed' END AS status,
@@ -129,11 +139,13 @@ SQL_TEAMS = """teams AS (
 
 
 def competitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Written out like any dimension table: then Spark knows its size and may broadcast it."""
     priorities = table(spark, folder, "orders").select("o_orderpriority").distinct()
-    return priorities.select(
+    found = priorities.select(
         competition_number().cast("string").alias("competition_id"),
         F.expr("substring(o_orderpriority, 3)").alias("competition_name"),
     )
+    return scratch_table(found, "competitions")
 
 
 SQL_COMPETITIONS = f"""competitions AS (
@@ -149,12 +161,13 @@ def staged_seasons(spark: SparkSession, folder: str) -> DataFrame:
     )
     competition, year = F.col("competition"), F.col("year")
     end = F.when(competition == 2013, F.make_date(year, F.lit(12), F.lit(31)))
-    return found.distinct().select(
+    distinct = found.distinct().select(
         F.concat(competition.cast("string"), year.cast("string")).alias("season_id"),
         F.make_date(year, F.lit(1), F.lit(1)).alias("start_date"),
         end.otherwise(F.make_date(year + 1, F.lit(6), F.lit(30))).alias("end_date"),
         competition.cast("string").alias("competition_id"),
     )
+    return scratch_table(distinct, "seasons")
 
 
 SQL_STAGED_SEASONS = f"""staged_seasons AS (

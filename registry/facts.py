@@ -260,7 +260,7 @@ POINTS_BY_VENUE = with_sql(
 def _versions(spark: SparkSession, folder: str) -> DataFrame:
     seasons = dims.seasons(d.staged_seasons(spark, folder), d.competitions(spark, folder), [v.BRAZILIAN_LEAGUE])
     return versions.standings_versions(
-        d.matches(spark, folder), d.teams(spark, folder), d.competitions(spark, folder), seasons
+        d.stored_matches(spark, folder), d.teams(spark, folder), d.competitions(spark, folder), seasons
     )
 
 
@@ -440,7 +440,7 @@ def _readable(found: DataFrame) -> DataFrame:
 
 
 def _team_streaks(spark: SparkSession, folder: str, **options) -> DataFrame:
-    rows = sides.per_side(d.matches(spark, folder))
+    rows = sides.per_side(d.stored_matches(spark, folder))
     return streaks.team_streaks(rows, d.teams(spark, folder), d.competitions(spark, folder), **options)
 
 

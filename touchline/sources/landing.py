@@ -17,10 +17,14 @@ def read_payloads(spark: SparkSession, path: str | list[str], whole_file: bool =
 
 
 def parse(payloads: DataFrame, schema: str, column: str = "payload") -> DataFrame:
-    """Add ``parsed`` with the declared fields; a payload that is no JSON lands in ``_corrupt``."""
+    """Add ``parsed`` with the declared fields; a payload that is no JSON lands in ``_corrupt``.
+
+    The array of one and its explode keep the optimizer from copying the parser into every
+    later filter and field access, so each payload is parsed once.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col(column), f"{schema}, {CORRUPT} string", options)
-    return payloads.withColumn("parsed", parsed)
+    return payloads.select("*", F.explode(F.array(parsed)).alias("parsed"))
 
 
 def good(parsed: DataFrame) -> DataFrame:
