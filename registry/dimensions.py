@@ -73,7 +73,7 @@ def calendar_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar over the days that have orders at either end, with the orders of each day."""
     orders = table(spark, folder, "orders")
     first, last = orders.agg(F.min("o_orderdate"), F.max("o_orderdate") + F.expr("INTERVAL 1 DAY")).first()
-    daily = orders.groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("date_day")).agg(
+    daily = orders.groupBy(F.to_date("o_orderdate").cast("timestamp_ntz").alias("date_day")).agg(
         F.count(F.lit(1)).alias("orders")
     )
     return calendar(spark, first.date(), last.date()).join(daily, "date_day", "left")

@@ -265,7 +265,7 @@ PLUCK_IDS = """
 def array_checks(spark: SparkSession, folder: str) -> DataFrame:
     """Lists opened beside the other columns, two in lockstep, and put together again in order."""
     vectors = table(spark, folder, "embeddings").withColumn(
-        "pair", F.transform("embedding", lambda x, i: F.struct(i.alias("i"), F.round(x * 1000).cast("int").alias("x")))
+        "pair", F.transform("embedding", lambda x, i: F.struct(i.alias("i"), F.round(x * F.lit(1000).cast("float")).cast("int").alias("x")))
     )
     opened = vectors.select("vec_id", "label", fn.list_length("embedding").alias("n"), F.explode("pair").alias("p"))
     rows = opened.select("vec_id", "label", "n", "p.i", "p.x")

@@ -11,7 +11,7 @@ from touchline.operators import dims, sides, standings, streaks, versions
 from touchline.operators.batches import nested_ids
 from touchline.operators.calendar import calendar, periods
 from touchline.operators.dedup import any_row, latest_row
-from touchline.operators.grid import DayGrid, grid_left_join, points_within, weeks
+from touchline.operators.grid import DayGrid, grid_left_join, number_of_points, points_within, weeks
 from touchline.operators.ordered import row_number, running_sum
 from touchline.operators.overrides import apply_overrides, corrected
 from touchline.sources import landing
@@ -102,6 +102,8 @@ def test_points_within_equal_brute_force(spark, closed, step):
     expected = sorted((i, p) for i, s, e in data for p in points if inside(p, s, e))
     found = sorted((r.id, r.p) for r in points_within(df, grid, "p", "s", "e", closed).collect())
     assert found == expected
+    counts = df.select("id", number_of_points(grid, "s", "e", closed).alias("n")).collect()
+    assert {r.id: r.n for r in counts} == {i: sum(1 for j, _ in expected if j == i) for i, _, _ in data}
     left = grid_left_join(df, grid, "p", "s", "e", closed)
     taken = {p for _, p in expected}
     assert sorted(r.p for r in left.filter("id IS NULL").collect()) == [p for p in points if p not in taken]

@@ -105,7 +105,7 @@ def test_empty_frame(spark):
 
 def test_known_sizes_are_trusted(spark):
     df = spark.createDataFrame(sample(100, 3), SCHEMA)
-    sizes = spark.createDataFrame([("any", 10**9, 1)], "k string, rows long, groups int")
+    sizes = spark.createDataFrame([("any", 10**9, 10**9)], "k string, rows long, total long")
     assert ordered(df, ["k"], ["id"], sizes=sizes, segment_rows=10**8).segmented
     assert not ordered(df, ["k"], ["id"], sizes=sizes.filter("rows < 0")).segmented
 

@@ -13,9 +13,14 @@ FIRST_DAY = dt.date(2000, 1, 1)
 END_DAY = dt.date(2050, 1, 1)
 
 
+def numbers(spark: SparkSession, count: int) -> DataFrame:
+    """``id`` from 0 up to ``count``. A dimension of some thousand rows is one task, not one per core."""
+    return spark.range(0, count, 1, count // 1_000_000 + 1)
+
+
 def days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day, ``end`` left out."""
-    span = spark.range(max(0, (end - start).days))
+    span = numbers(spark, max(0, (end - start).days))
     return span.select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("day"))
 
 
@@ -38,6 +43,6 @@ def periods(spark: SparkSession, first: dt.date, last: dt.date, step_days: int =
     """Consecutive periods [start_date, end_date), one for each start up to ``last`` included."""
     count = max(0, (last - first).days // step_days + 1)
     start = F.date_add(F.lit(first), (F.col("id") * step_days).cast("int"))
-    return spark.range(count).select(
+    return numbers(spark, count).select(
         F.col("id").alias("period_number"), start.alias("start_date"), F.date_add(start, step_days).alias("end_date")
     )

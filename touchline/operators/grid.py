@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators.calendar import numbers
+
 
 @dataclass(frozen=True)
 class DayGrid:
@@ -28,7 +30,7 @@ class DayGrid:
         return max(0, (self.last - self.first).days // self.step_days + 1)
 
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.range(self.size).select(self._point(F.col("id").cast("int")).alias(name))
+        return numbers(spark, self.size).select(self._point(F.col("id").cast("int")).alias(name))
 
     def _point(self, number: Column) -> Column:
         return F.date_add(F.lit(self.first), number * self.step_days).cast("timestamp_ntz")
@@ -42,13 +44,8 @@ def weeks(start: dt.date, end: dt.date, day: int = 0) -> DayGrid:
     return DayGrid(first, last)
 
 
-def points_within(
-    periods: DataFrame, grid: DayGrid, point: str, start: str, end: str, closed: bool = False
-) -> DataFrame:
-    """Inner range join: one row per period and grid point with ``start <= point < end``.
-
-    ``closed`` takes ``point <= end`` instead. A NULL end matches nothing.
-    """
+def _span(grid: DayGrid, start: str, end: str, closed: bool) -> tuple[Column, Column]:
+    """Numbers of the first and last grid point inside a period."""
     start_day, end_day = F.to_date(start), F.to_date(end)
     at_midnight = F.col(start) == start_day.cast("timestamp_ntz")
     first_day = F.when(at_midnight, start_day).otherwise(F.date_add(start_day, 1))
@@ -58,6 +55,24 @@ def points_within(
     origin, step = F.lit(grid.first), grid.step_days
     low = F.greatest(F.ceil(F.datediff(first_day, origin) / step).cast("int"), F.lit(0))
     high = F.least(F.floor(F.datediff(last_day, origin) / step).cast("int"), F.lit(grid.size - 1))
+    return low, high
+
+
+def number_of_points(grid: DayGrid, start: str, end: str, closed: bool = False) -> Column:
+    """How many grid points a period holds."""
+    low, high = _span(grid, start, end, closed)
+    known = F.col(start).isNotNull() & F.col(end).isNotNull()
+    return F.when(known, F.greatest(high - low + 1, F.lit(0))).otherwise(0).cast("bigint")
+
+
+def points_within(
+    periods: DataFrame, grid: DayGrid, point: str, start: str, end: str, closed: bool = False
+) -> DataFrame:
+    """Inner range join: one row per period and grid point with ``start <= point < end``.
+
+    ``closed`` takes ``point <= end`` instead. A NULL end matches nothing.
+    """
+    low, high = _span(grid, start, end, closed)
     return (
         periods.withColumns({"__low": low, "__high": high})
         .filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col("__low") <= F.col("__high")))

@@ -149,7 +149,7 @@ def ordered(
     determined, and a run of equal values can still be cut.
 
     The size check reads ``df`` once more, keys only. To spare that, pass ``sizes``: a frame
-    with ``rows``, the size of each group or an upper bound of it, and ``groups``, how many
+    with ``rows``, the size of a group or an upper bound of it, and ``total``, the rows of all
     groups that holds for. With ``reuse`` the frame is first written to the shared folder; use
     it where ``df`` is small next to what it was made from, such as an aggregate.
     """
@@ -159,8 +159,8 @@ def ordered(
     if reuse:
         df = settle(df)
     if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).withColumn("groups", F.lit(1))
-    largest, total = sizes.agg(F.max("rows"), F.sum(F.col("rows") * F.col("groups"))).first()
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).withColumn("total", F.col("rows"))
+    largest, total = sizes.agg(F.max("rows"), F.sum("total")).first()
     if (largest or 0) <= limit:
         return Ordered(df, keys, order, segmented=False)
     segments = min(MAX_SEGMENTS, max(2, math.ceil(total / aim)))

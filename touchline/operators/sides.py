@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.dates import month_start
 from touchline.functions.keys import surrogate_key
 
 HOME, AWAY = "home", "away"
@@ -121,7 +122,7 @@ def match_facts(
         "team_id",
         "team_playing_location",
         "match_at",
-        F.date_trunc("month", "match_at").cast("timestamp_ntz").alias("match_month"),
+        month_start("match_at").alias("match_month"),
         "team_result",
         F.col("status").alias("match_status"),
         F.col("stage").alias("match_stage"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.keys import surrogate_key
-from touchline.operators.grid import DayGrid, grid_left_join, points_within
+from touchline.operators.grid import DayGrid, grid_left_join, number_of_points, points_within
 from touchline.operators.ordered import Scan, following, ordered, row_number, running_count, running_sum
 from touchline.operators.sides import SIDES, points_for, unpivot_sides
 from touchline.operators.standings import counting, table_order
@@ -107,15 +107,16 @@ def with_open_end(history: DataFrame, length: str = "INTERVAL 7 DAYS") -> DataFr
     return history.withColumn("version_end_at", end)
 
 
-def rows_per_point(history: DataFrame, grid: DayGrid, versions_per_group: int = 1) -> DataFrame:
-    """Upper bound on the rows of a competition at one grid point.
+def sizes_at_points(history: DataFrame, points: Column, versions_per_point: int = 1) -> DataFrame:
+    """Upper bound on the rows of a competition at one grid point, and all its rows together.
 
     Versions of one group do not overlap, so a point sees at most one of each: the bound is the
-    number of groups in the competition, known without exploding anything.
+    number of groups in the competition. ``points`` is the number of points a version holds.
+    Nothing is exploded for either.
     """
-    groups = history.select(*GROUP).distinct()
-    bound = (F.count(F.lit(1)) * versions_per_group).alias("rows")
-    return groups.groupBy("competition_id").agg(bound).withColumn("groups", F.lit(grid.size))
+    groups = history.groupBy(*GROUP).agg(F.sum(points).alias("points"))
+    bound = (F.count(F.lit(1)) * versions_per_point).alias("rows")
+    return groups.groupBy("competition_id").agg(bound, F.sum("points").alias("total"))
 
 
 def weekly_standings(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
@@ -126,7 +127,8 @@ def weekly_standings(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
         *table_order("running_total_pts", "running_number_of_goals_scored", "running_number_of_goals_conceded"),
         *[F.col(name).asc_nulls_last() for name in ("team_id", "season_id", "match_id")],
     ]
-    per_point = ordered(at_points, ["week_start_date", "competition_id"], order, sizes=rows_per_point(history, grid), **limits)
+    sizes = sizes_at_points(closed, number_of_points(grid, "version_start_at", "version_end_at"))
+    per_point = ordered(at_points, ["week_start_date", "competition_id"], order, sizes=sizes, **limits)
     return per_point.scan(ranking=row_number()).rows
 
 
@@ -140,6 +142,7 @@ def ranked_at_week_ends(history: DataFrame, grid: DayGrid, **limits) -> DataFram
     order = [F.col("running_total_pts").desc_nulls_last()]
     order += [F.col(name).asc_nulls_last() for name in ("team_id", "season_id", "match_id")]
     # with both ends included two versions of a group can meet in a point
-    sizes = rows_per_point(history, grid, versions_per_group=2)
+    points = number_of_points(grid, "version_start_at", "version_end_at", closed=True)
+    sizes = sizes_at_points(history, points, versions_per_point=2)
     ranked = ordered(at_points, ["week_end_date", "competition_id"], order, sizes=sizes, **limits)
     return ranked.scan(ranking=row_number()).rows.withColumn("week_start_date", start)

@@ -69,8 +69,9 @@ def build(raw: dict[str, DataFrame], as_of: dt.date, write: Write = keep_lazy) -
     add("standings_current", with_placement(standings(matches), teams, competitions), contracts.STANDINGS)
     history = standings_versions(matches, teams, competitions, seasons)
     history = add("standings_versions", history, contracts.VERSIONS)
+    # not sorted: a table has no order, and sorting it would cost a further shuffle
     weekly = weekly_standings(history, weeks(FIRST_DAY, END_DAY)).select(*contracts.WEEKLY)
-    add("standings_weekly", weekly.orderBy(F.col("week_start_date").desc()), contracts.WEEKLY)
+    add("standings_weekly", weekly, contracts.WEEKLY)
     add("streaks", team_streaks(sides, teams, competitions), contracts.STREAKS)
     playoffs = dims.playoff_matches(matches, teams, competitions, v.CHAMPIONS_LEAGUE, v.PLAYOFF_STAGE_ORDER)
     add("playoff_matches", playoffs, contracts.PLAYOFFS)

@@ -35,8 +35,16 @@ def replace_folder(df: DataFrame, path: str) -> DataFrame:
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a shared intermediate result to the shared folder and read it from there."""
-    return replace_folder(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    """Write a shared intermediate result to the shared folder and read it from there.
+
+    It lives as long as the application: the file system deletes it when that ends.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    table = replace_folder(df, folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return table
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
