@@ -12,7 +12,7 @@ from registry.register import Entry, table, with_sql
 from touchline.operators import dims, sides, standings, streaks, versions
 from touchline.operators.calendar import END_DAY, FIRST_DAY
 from touchline.operators.grid import DayGrid, grid_left_join, points_within, weeks
-from touchline.operators.ordered import ordered, row_number, running_sum
+from touchline.operators.ordered import ranked, row_number, running_sum
 from touchline.plans import contracts
 from touchline.plans import values as v
 from touchline.plans.warehouse import no_points
@@ -332,8 +332,7 @@ def weekly_rankings(spark: SparkSession, folder: str) -> DataFrame:
     return weekly.orderBy(F.col("week_start_date").desc())
 
 
-WEEKLY_RANKINGS = with_sql(
-    *_HISTORY,
+WEEKLY_PARTS = [
     """closed AS (
          SELECT * REPLACE (coalesce(version_end_at, version_start_at + INTERVAL 7 DAYS) AS version_end_at)
          FROM history)""",
@@ -341,7 +340,8 @@ WEEKLY_RANKINGS = with_sql(
                row_number() OVER (PARTITION BY week, competition_id ORDER BY {_TABLE_ORDER}) AS ranking
         FROM generate_series(TIMESTAMP '1999-12-27', TIMESTAMP '2049-12-27', INTERVAL 7 DAYS) AS weeks(week)
         LEFT JOIN closed ON week >= version_start_at AND week < version_end_at""",
-)
+]
+WEEKLY_RANKINGS = with_sql(*_HISTORY, *WEEKLY_PARTS)
 
 
 def week_end_rankings(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,7 +419,7 @@ def daily_event_leaders(spark: SparkSession, folder: str) -> DataFrame:
     state = _event_state(spark, folder).select("user_id", "valid_from", "valid_to", "cents_so_far")
     at_days = points_within(state, EVENT_DAYS, "day", "valid_from", "valid_to", closed=True)
     order = [F.col("cents_so_far").desc_nulls_last(), F.col("user_id"), F.col("valid_from")]
-    return ordered(at_days, ["day"], order).scan(ranking=row_number()).rows
+    return ranked(at_days, ["day"], order)
 
 
 DAILY_EVENT_LEADERS = with_sql(

@@ -43,6 +43,11 @@ def test_every_table_is_there(tables):
     assert all(df.count() > 0 for df in tables.values())
 
 
+def test_only_what_is_wanted_is_built(raw):
+    assert set(warehouse.build(raw, AS_OF, wanted=["stg_players"])) == {"stg_players"}
+    assert set(warehouse.build(raw, AS_OF, wanted=["seasons"])) == {"stg_competitions", "stg_seasons", "seasons"}
+
+
 def test_areas_are_corrected(tables):
     names = {row.area_id: (row.country_name, row.continent_name) for row in tables["stg_areas"].collect()}
     assert names["2030"] == ("Bosnia-Herzegovina", "Europe")

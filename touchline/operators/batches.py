@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import ordered, row_number
+from touchline.operators.ordered import ranked
 
 
 def nested_ids(df: DataFrame, items: str, field: str = "id", name: str = "id") -> DataFrame:
@@ -21,6 +21,6 @@ def batches(ids: DataFrame, column: str, size: int = 100, **limits) -> DataFrame
     and the count of the partitions before is added to a partition's own numbers.
     """
     order = [F.col(column).asc_nulls_last()]
-    numbered = ordered(ids, [], order, reuse=True, **limits).scan(__place=row_number()).rows
+    numbered = ranked(ids, [], order, "__place", reuse=True, **limits)
     batch = F.floor((F.col("__place") - 1) / size).cast("bigint")
     return numbered.withColumn("batch", batch).drop("__place")

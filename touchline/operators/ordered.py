@@ -170,6 +170,11 @@ def ordered(
     return Ordered(settle(cut), keys, order, segmented=True)
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "ranking", **options) -> DataFrame:
+    """Number the rows of each group from 1 in the given order; options as for :func:`ordered`."""
+    return ordered(df, keys, order, **options).scan(**{name: row_number()}).rows
+
+
 def _carried(name: str) -> str:
     return f"__carried_{name}"
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import Scan, following, ordered, row_number, running_max
+from touchline.operators.ordered import Scan, following, ordered, ranked, running_max
 
 Condition = Column | str
 FAILURES = "failures"
@@ -217,7 +217,7 @@ def not_null_but_latest(column: str, keys: Sequence[str], order: str, **limits)
     def failing(df: DataFrame) -> DataFrame:
         empty = df.filter(F.col(column).isNull())
         newest_first = [F.col(order).desc_nulls_last(), F.xxhash64(*df.columns)]
-        rows = ordered(empty, keys, newest_first, **limits).scan(__place=row_number()).rows
+        rows = ranked(empty, keys, newest_first, "__place", **limits)
         return rows.filter("__place != 1").drop("__place")
 
     return Check(f"not_null_but_latest({column})", failing)

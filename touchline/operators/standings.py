@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.keys import surrogate_key
-from touchline.operators.ordered import ordered, row_number
+from touchline.operators.ordered import ranked
 from touchline.operators.sides import SIDES, points_for, result_for, unpivot_sides
 
 COUNTING_STATUSES = ("finished", "awarded")
@@ -87,10 +87,10 @@ def _table(totals: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(table: DataFrame, **limits) -> DataFrame:
+def _placed(table: DataFrame, **limits) -> DataFrame:
     order = [*table_order("total_pts", "total_goals_scored", "total_goals_conceded"), F.col("team_id").asc_nulls_last()]
     # one row per team and competition: small next to the matches, so written once and reused
-    return ordered(table, ["competition_id"], order, reuse=True, **limits).scan(ranking=row_number()).rows
+    return ranked(table, ["competition_id"], order, reuse=True, **limits)
 
 
 def standings(matches: DataFrame, **limits) -> DataFrame:
@@ -104,13 +104,13 @@ def standings(matches: DataFrame, **limits) -> DataFrame:
     joined = (F.col("away_rows") > 0) & F.col("team_id").isNotNull() & F.col("competition_id").isNotNull()
     away = [name for name in totals.columns if name.startswith("away_") and name != "away_rows"]
     totals = totals.withColumns({name: F.when(joined, F.col(name)) for name in away})
-    return _ranked(_table(totals), **limits)
+    return _placed(_table(totals), **limits)
 
 
 def full_standings(matches: DataFrame, **limits) -> DataFrame:
     """As :func:`standings`, but every team is kept and missing sums count as 0."""
     totals = venue_totals(counting(matches))
-    return _ranked(_table(totals.fillna(0, [n for n in totals.columns if n not in KEYS])), **limits)
+    return _placed(_table(totals.fillna(0, [n for n in totals.columns if n not in KEYS])), **limits)
 
 
 def with_placement(table: DataFrame, teams: DataFrame, competitions: DataFrame, separator: str = "") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.keys import surrogate_key
 from touchline.operators.grid import DayGrid, grid_left_join, number_of_points, points_within
-from touchline.operators.ordered import Scan, following, ordered, row_number, running_count, running_sum
+from touchline.operators.ordered import Scan, following, ordered, ranked, running_count, running_sum
 from touchline.operators.sides import SIDES, points_for, unpivot_sides
 from touchline.operators.standings import counting, table_order
 
@@ -128,8 +128,7 @@ def weekly_standings(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
         *[F.col(name).asc_nulls_last() for name in ("team_id", "season_id", "match_id")],
     ]
     sizes = sizes_at_points(closed, number_of_points(grid, "version_start_at", "version_end_at"))
-    per_point = ordered(at_points, ["week_start_date", "competition_id"], order, sizes=sizes, **limits)
-    return per_point.scan(ranking=row_number()).rows
+    return ranked(at_points, ["week_start_date", "competition_id"], order, sizes=sizes, **limits)
 
 
 def ranked_at_week_ends(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
@@ -144,5 +143,5 @@ def ranked_at_week_ends(history: DataFrame, grid: DayGrid, **limits) -> DataFram
     # with both ends included two versions of a group can meet in a point
     points = number_of_points(grid, "version_start_at", "version_end_at", closed=True)
     sizes = sizes_at_points(history, points, versions_per_point=2)
-    ranked = ordered(at_points, ["week_end_date", "competition_id"], order, sizes=sizes, **limits)
-    return ranked.scan(ranking=row_number()).rows.withColumn("week_start_date", start)
+    places = ranked(at_points, ["week_end_date", "competition_id"], order, sizes=sizes, **limits)
+    return places.withColumn("week_start_date", start)

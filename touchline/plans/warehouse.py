@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from touchline.plans import values as v
 RAW = ("areas", "competitions", "matches", "teams", "players")
 
 Write = Callable[[str, DataFrame], DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def keep_lazy(name: str, df: DataFrame) -> DataFrame:
@@ -33,46 +34,81 @@ def no_points() -> Column:
     return (F.col("competition_id") == v.CHAMPIONS_LEAGUE) & (F.col("stage") != "league stage")
 
 
-def build(raw: dict[str, DataFrame], as_of: dt.date, write: Write = keep_lazy) -> dict[str, DataFrame]:
-    """Every table by name, columns and types as declared.
+def _weekly(history: DataFrame) -> DataFrame:
+    # not sorted: a table has no order, and sorting it would cost a further shuffle
+    return weekly_standings(history, weeks(FIRST_DAY, END_DAY)).select(*contracts.WEEKLY)
+
+
+def _playoffs(matches: DataFrame, teams: DataFrame, competitions: DataFrame) -> DataFrame:
+    return dims.playoff_matches(matches, teams, competitions, v.CHAMPIONS_LEAGUE, v.PLAYOFF_STAGE_ORDER)
+
+
+# name -> (tables it reads, declared columns, how it is made of those tables and the day)
+MODELS = {
+    "stg_areas": (["raw.areas"], contracts.AREAS, lambda raw, day: staging.stage_areas(raw)),
+    "stg_competitions": (["raw.competitions"], contracts.COMPETITIONS, lambda raw, day: staging.stage_competitions(raw)),
+    "stg_matches": (["raw.matches"], contracts.MATCHES, staging.stage_matches),
+    "stg_teams": (["raw.teams"], contracts.TEAMS, lambda raw, day: staging.stage_teams(raw)),
+    "stg_coaches": (["raw.teams"], contracts.COACHES, lambda raw, day: staging.stage_coaches(raw)),
+    "stg_referees": (["raw.matches"], contracts.REFEREES, lambda raw, day: staging.stage_referees(raw)),
+    "stg_seasons": (["raw.teams"], contracts.STAGED_SEASONS, lambda raw, day: staging.stage_seasons(raw)),
+    "stg_players": (["raw.players"], contracts.STAGED_PLAYERS, lambda raw, day: staging.stage_players(raw)),
+    "int_matches_per_team": (["stg_matches"], contracts.MATCHES_PER_TEAM, lambda matches, day: per_side(matches)),
+    "countries": (["stg_areas"], contracts.COUNTRIES, lambda areas, day: dims.countries(areas)),
+    "continents": (["stg_areas"], contracts.CONTINENTS, lambda areas, day: dims.continents(areas)),
+    "calendar": (["raw.matches"], contracts.CALENDAR, lambda any_table, day: calendar(any_table.sparkSession)),
+    "seasons": (
+        ["stg_seasons", "stg_competitions"],
+        contracts.SEASONS,
+        lambda seasons, competitions, day: dims.seasons(seasons, competitions, [v.BRAZILIAN_LEAGUE]),
+    ),
+    "players": (["stg_players", "stg_teams", "stg_competitions"], contracts.PLAYERS, dims.players),
+    "matches_per_team": (
+        ["stg_matches", "stg_teams", "stg_competitions"],
+        contracts.MATCH_FACTS,
+        lambda matches, teams, competitions, day: match_facts(matches, teams, competitions, no_points()),
+    ),
+    "standings_current": (
+        ["stg_matches", "stg_teams", "stg_competitions"],
+        contracts.STANDINGS,
+        lambda matches, teams, competitions, day: with_placement(standings(matches), teams, competitions),
+    ),
+    "standings_versions": (
+        ["stg_matches", "stg_teams", "stg_competitions", "seasons"],
+        contracts.VERSIONS,
+        lambda matches, teams, competitions, seasons, day: standings_versions(matches, teams, competitions, seasons),
+    ),
+    "standings_weekly": (["standings_versions"], contracts.WEEKLY, lambda history, day: _weekly(history)),
+    "streaks": (
+        ["int_matches_per_team", "stg_teams", "stg_competitions"],
+        contracts.STREAKS,
+        lambda sides, teams, competitions, day: team_streaks(sides, teams, competitions),
+    ),
+    "playoff_matches": (
+        ["stg_matches", "stg_teams", "stg_competitions"],
+        contracts.PLAYOFFS,
+        lambda matches, teams, competitions, day: _playoffs(matches, teams, competitions),
+    ),
+}
+
+
+def build(
+    raw: Tables, as_of: dt.date, write: Write = keep_lazy, wanted: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Every table by name, columns and types as declared; or those ``wanted`` and what they read.
 
     ``write(name, frame)`` may store a table and return what later ones shall read, for example
     ``lambda name, df: create_or_replace(df, name)``. Do so at scale: matches and versions feed
     several tables, and the skew checks read their inputs once more.
     """
-    today = F.lit(as_of)
-    spark = raw["matches"].sparkSession
+    needed = set(wanted or MODELS)
+    for name in reversed(MODELS):
+        if name in needed:
+            needed.update(MODELS[name][0])
+    known = {f"raw.{name}": df for name, df in raw.items()}
     tables: dict[str, DataFrame] = {}
-
-    def add(name: str, df: DataFrame, contract: dict[str, str]) -> DataFrame:
-        tables[name] = write(name, enforce_contract(df, contract))
-        return tables[name]
-
-    areas = add("stg_areas", staging.stage_areas(raw["areas"]), contracts.AREAS)
-    competitions = add("stg_competitions", staging.stage_competitions(raw["competitions"]), contracts.COMPETITIONS)
-    matches = add("stg_matches", staging.stage_matches(raw["matches"], today), contracts.MATCHES)
-    teams = add("stg_teams", staging.stage_teams(raw["teams"]), contracts.TEAMS)
-    add("stg_coaches", staging.stage_coaches(raw["teams"]), contracts.COACHES)
-    add("stg_referees", staging.stage_referees(raw["matches"]), contracts.REFEREES)
-    staged_seasons = add("stg_seasons", staging.stage_seasons(raw["teams"]), contracts.STAGED_SEASONS)
-    staged_players = add("stg_players", staging.stage_players(raw["players"]), contracts.STAGED_PLAYERS)
-
-    sides = add("int_matches_per_team", per_side(matches), contracts.MATCHES_PER_TEAM)
-
-    add("countries", dims.countries(areas), contracts.COUNTRIES)
-    add("continents", dims.continents(areas), contracts.CONTINENTS)
-    add("calendar", calendar(spark), contracts.CALENDAR)
-    seasons = dims.seasons(staged_seasons, competitions, [v.BRAZILIAN_LEAGUE])
-    seasons = add("seasons", seasons, contracts.SEASONS)
-    add("players", dims.players(staged_players, teams, competitions, today), contracts.PLAYERS)
-    add("matches_per_team", match_facts(matches, teams, competitions, no_points()), contracts.MATCH_FACTS)
-    add("standings_current", with_placement(standings(matches), teams, competitions), contracts.STANDINGS)
-    history = standings_versions(matches, teams, competitions, seasons)
-    history = add("standings_versions", history, contracts.VERSIONS)
-    # not sorted: a table has no order, and sorting it would cost a further shuffle
-    weekly = weekly_standings(history, weeks(FIRST_DAY, END_DAY)).select(*contracts.WEEKLY)
-    add("standings_weekly", weekly, contracts.WEEKLY)
-    add("streaks", team_streaks(sides, teams, competitions), contracts.STREAKS)
-    playoffs = dims.playoff_matches(matches, teams, competitions, v.CHAMPIONS_LEAGUE, v.PLAYOFF_STAGE_ORDER)
-    add("playoff_matches", playoffs, contracts.PLAYOFFS)
+    for name, (sources, contract, make) in MODELS.items():
+        if name in needed:
+            inputs = [known[source] for source in sources]
+            known[name] = tables[name] = write(name, enforce_contract(make(*inputs, F.lit(as_of)), contract))
     return tables
