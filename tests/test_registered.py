@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from registry import ENTRIES
 from registry.compare import connect, difference
+from touchline.operators import ordered
 
 
 @pytest.fixture(scope="module")
@@ -22,3 +23,24 @@ def test_query(spark, connection, folder, name):
     entry = ENTRIES[name]
     assert entry.sql is not None
     assert difference(spark, connection, folder, entry) is None
+
+
+HISTORIES = [
+    "standings_current",
+    "standings_versions",
+    "event_versions",
+    "daily_event_leaders",
+    "streaks",
+    "event_streak_members",
+    "id_batches",
+    "dq_no_overlap",
+    "dq_window_expression",
+]
+
+
+@pytest.mark.parametrize("name", HISTORIES)
+def test_query_with_groups_cut_into_segments(spark, connection, folder, name, monkeypatch):
+    """The same rows when hardly any group fits one task."""
+    monkeypatch.setattr(ordered, "MAX_GROUP_ROWS", 4)
+    monkeypatch.setattr(ordered, "SEGMENT_ROWS", 150)
+    assert difference(spark, connection, folder, ENTRIES[name]) is None

@@ -300,6 +300,14 @@ def test_tables_are_written_and_replaced(spark, raw):
         assert source(spark, "warehouse_test", "streaks").count() == built["streaks"].count()
         replaced = create_or_replace(spark.range(3), "warehouse_test.streaks")
         assert rows(replaced) == [(0,), (1,), (2,)]
+        # out of the table itself
+        again = create_or_replace(replaced.filter("id > 0"), "warehouse_test.streaks")
+        assert rows(again) == [(1,), (2,)]
+        # a failing job changes nothing
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            create_or_replace(again.select(F.expr("1 / (id - 1)")), "warehouse_test.streaks")
+        assert rows(source(spark, "warehouse_test", "streaks")) == [(1,), (2,)]
+        assert not [t.name for t in spark.catalog.listTables("warehouse_test") if "__" in t.name]
     finally:
         spark.sql("DROP DATABASE warehouse_test CASCADE")
 

@@ -22,10 +22,19 @@ def parquet_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def create_or_replace(df: DataFrame, table: str) -> DataFrame:
     """Replace a catalog table with ``df`` and return the new table.
 
-    The new table must not be computed from the one it replaces: Spark refuses that.
+    The rows are written beside the old table, which is exchanged only when they are complete:
+    a job that fails leaves it as it was, and ``df`` may read the table it replaces.
     """
-    df.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    spark = df.sparkSession
+    fresh = f"{table}__{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    return spark.table(table)
 
 
 def replace_folder(df: DataFrame, path: str) -> DataFrame:
