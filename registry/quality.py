@@ -127,10 +127,11 @@ LENGTHS = "SELECT doc_id, lang FROM documents WHERE lang <> 'en' AND NOT length(
 
 
 def length_equals(spark: SparkSession, folder: str) -> DataFrame:
-    return q.length_equals("n_name", 8).failing(table(spark, folder, "nation"))
+    parts = table(spark, folder, "part").select("p_partkey", "p_brand")
+    return q.length_equals("p_brand", 7, where="p_partkey % 3 <> 0").failing(parts)
 
 
-LENGTH_EQUALS = "FROM nation WHERE length(n_name) <> 8"
+LENGTH_EQUALS = "SELECT p_partkey, p_brand FROM part WHERE p_partkey % 3 <> 0 AND length(p_brand) <> 7"
 
 
 def pair_greater(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,18 +27,20 @@ def ids_up_to(count: Column, first: Column) -> Column:
 
 
 def areas(spark: SparkSession, folder: str) -> DataFrame:
-    """Nations; one of twelve is called World, one of eight has no parent."""
-    key = F.col("n_nationkey")
+    """Customers as areas of their region; one of twelve is called World, one of eight has no parent."""
+    key = F.col("c_custkey")
     parent = F.when(F.col("r_name") == "AMERICA", "N/C America").otherwise(
         F.concat(F.substring("r_name", 1, 1), F.lower(F.expr("substring(r_name, 2)")))
     )
-    nations = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    places = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return nations.select(
-        (key + 2020).cast("bigint").alias("id"),
-        F.when(key % 12 == 5, "World").otherwise(F.col("n_name")).alias("name"),
-        F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0")).alias("countryCode"),
+    return places.select(
+        (key + 2000).alias("id"),
+        F.when(key % 12 == 5, "World").otherwise(F.col("c_name")).alias("name"),
+        F.concat(F.lit("C"), (key % 100).cast("string")).alias("countryCode"),
         F.lit(None).cast("string").alias("flag"),
         (F.col("r_regionkey") + 2200).cast("bigint").alias("parentAreaId"),
         F.when(key % 8 != 3, parent).alias("parentArea"),
@@ -46,11 +48,11 @@ def areas(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL_AREAS = """areas AS (
-  SELECT n_nationkey + 2020 AS id, CASE WHEN n_nationkey % 12 = 5 THEN 'World' ELSE n_name END AS raw_name,
-         'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, CAST(r_regionkey + 2200 AS VARCHAR) AS parent_id,
-         CASE WHEN n_nationkey % 8 = 3 THEN NULL WHEN r_name = 'AMERICA' THEN 'N/C America'
+  SELECT c_custkey + 2000 AS id, CASE WHEN c_custkey % 12 = 5 THEN 'World' ELSE c_name END AS raw_name,
+         'C' || c_custkey % 100 AS code, CAST(r_regionkey + 2200 AS VARCHAR) AS parent_id,
+         CASE WHEN c_custkey % 8 = 3 THEN NULL WHEN r_name = 'AMERICA' THEN 'N/C America'
               ELSE upper(r_name[1]) || lower(r_name[2:]) END AS parent
-  FROM nation JOIN region ON r_regionkey = n_regionkey)"""
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)"""
 
 
 def competitions(spark: SparkSession, folder: str) -> DataFrame:

@@ -298,11 +298,11 @@ SORTED_DISTINCT = "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders OR
 
 
 def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The first five nations by name."""
-    return preview(table(spark, folder, "nation").orderBy("n_name"))
+    """The five newest events."""
+    return preview(table(spark, folder, "events").orderBy(F.col("ts").desc()))
 
 
-PREVIEW_ROWS = "FROM nation ORDER BY n_name LIMIT 5"
+PREVIEW_ROWS = "FROM events ORDER BY ts DESC LIMIT 5"
 
 
 ENTRIES = {

@@ -35,7 +35,8 @@ def stage_areas(spark: SparkSession, folder: str) -> DataFrame:
 
 STAGED_AREAS = f"""{raw.SQL_AREAS}, staged_areas AS (
   SELECT 'country_' || md5(raw_name) AS country_id, CAST(id AS VARCHAR) AS area_id,
-         CASE WHEN id = 2030 THEN 'Bosnia-Herzegovina' ELSE raw_name END AS country_name, code AS country_code,
+         CASE id WHEN 2030 THEN 'Bosnia-Herzegovina' WHEN 2083 THEN 'North Macedonia' WHEN 2123 THEN 'South Korea'
+                 WHEN 2192 THEN 'Ireland' ELSE raw_name END AS country_name, code AS country_code,
          'continent_' || md5(parent) AS continent_id, replace(parent, 'N/C America', 'North America') AS continent_name,
          parent_id AS parent_area_id
   FROM areas)"""

@@ -94,5 +94,5 @@ def grid_left_join(
     inside = points_within(periods, grid, point, start, end, closed)
     ends = periods.select(start, end)
     taken = points_within(ends, grid, point, start, end, closed).select(point).distinct()
-    empty = grid.frame(periods.sparkSession, point).join(F.broadcast(taken), point, "left_anti")
+    empty = grid.frame(periods.sparkSession, point).join(taken, point, "left_anti")
     return inside.unionByName(empty, allowMissingColumns=True)

@@ -127,8 +127,9 @@ class Ordered:
         same = F.col(_SEGMENT) == F.col("__at")
         for i, key in enumerate(self._keys):
             same = same & F.col(key).eqNullSafe(F.col(f"__key{i}"))
-        # bounded by MAX_SEGMENTS, and the rows stay where they are
-        joined = local.join(F.broadcast(carry), same, "left")
+        # Bounded by MAX_SEGMENTS, so the rows can stay where they are. Written first: making it
+        # is a pass over all rows, longer than a broadcast may take, and later scans reuse it.
+        joined = local.join(F.broadcast(settle(carry)), same, "left")
         joined = joined.withColumns({n: _combined(n, s) for n, s in scans.items()})
         return joined.select(*[column for column in local.columns if column not in (_PLACE, _LAST)])
 
