@@ -9,9 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from touchline.llm import pii, secrets_scan
+from touchline.llm.chunk_dedup import repeats
+from touchline.llm.mixing import mixture
+from touchline.llm.ngram_join import ngram_join
+from touchline.llm.packing import pack
 from touchline.llm.quality_rules import quality
-from touchline.llm.words import read
+from touchline.llm.vector_dedup import vector_links
+from touchline.llm.words import read, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +29,96 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*first, "posterior")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    return pack(read(spark, sf_dir, "documents"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    return ngram_join(read(spark, sf_dir, "documents")).drop("digest")
+
+
+def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share, in each document that has them."""
+    shipped(spark)
+    rows = repeats(read(spark, sf_dir, "documents"))
+    spare = F.array_join(F.transform("spare", lambda s: F.concat_ws(":", s[0], s[1])), ",")
+    return rows.withColumn("spare", spare)
+
+
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    return vector_links(read(spark, sf_dir, "embeddings"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read(spark, sf_dir, "documents"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    rows = secrets_scan.secrets(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets_scan.BASE))
+    of_kind = [pii.count_of("spans", kind).alias(f"n_{kind}") for kind in secrets_scan.BASE]
+    return rows.select("doc_id", *of_kind, F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.personal_data(read(spark, sf_dir, "documents"))
+    of_kind = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.PATTERNS]
+    return rows.select("doc_id", *of_kind, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_chunk_dedup": op3_chunk_dedup,
+    "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_vector_dedup": op6_vector_dedup,
+    "op8_mixing": op8_mixing,
+    "op9_secrets": op9_secrets,
+    "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# every pair with a shared n-gram is compared; a text of fewer than five words is one n-gram
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 10 * common >= 8 * (x.size + y.size - common)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, min(other) AS class_id,
+  (SELECT count(*) FROM links WHERE links.a = reach.doc_id) AS n_links, doc_id = min(other) AS kept
+FROM reach GROUP BY doc_id"""
+
+VECTOR_DEDUP_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = reach.vec_id) AS n_links,
+  min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_join": NGRAM_JOIN_SQL,
+    "op6_vector_dedup": VECTOR_DEDUP_SQL,
+}
