@@ -309,5 +309,8 @@ def filtered(docs: DataFrame, text: str = "text") -> DataFrame:
     model = fit(counted(docs.select(F.col(text).alias("text"))).select("c"))
     names = docs.columns
     renamed = docs.toDF(*[f"__d{i}" for i in range(len(names))])
-    judged_rows = judged(counted(renamed, f"__d{names.index(text)}"), model).filter("kept")
-    return judged_rows.select(*[F.col(f"__d{i}").alias(name) for i, name in enumerate(names)])
+    rows = judged(counted(renamed, f"__d{names.index(text)}"), model)
+    # a filter on plain columns would be pushed below the counts and repeat them for every rule;
+    # the row number, not being deterministic, keeps it where it is
+    kept = rows.withColumn("__row", F.monotonically_increasing_id()).filter(F.col("kept") & (F.col("__row") >= 0))
+    return kept.select(*[F.col(f"__d{i}").alias(name) for i, name in enumerate(names)])
