@@ -17,6 +17,7 @@ within one document only is no repeat across documents.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from touchline.llm.words import written
 
 WINDOW = 16
 AVERAGE = 32
+SHORTEST = 12
 LONGEST = 1024
 MIN_WORDS = 20
 _SEED = 11
@@ -61,6 +63,10 @@ def boundaries(data: np.ndarray, starts: np.ndarray, gear: np.ndarray) -> np.nda
     cut &= (data & 0xC0) != 0x80  # never inside a character
     cut[starts] = True
     found = np.flatnonzero(cut)
+    # of places close to each other the first counts; that still depends on nearby bytes only
+    begins = np.zeros(len(data), dtype=bool)
+    begins[starts] = True
+    found = found[np.append(True, np.diff(found) >= SHORTEST) | begins[found]]
     gaps = np.diff(np.append(found, len(data)))
     long = np.flatnonzero(gaps > LONGEST)
     if len(long):
@@ -114,6 +120,19 @@ def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _spare(run: list, doc_id: int) -> list[tuple[int, int, int]]:
+    """Stretches of at least ``MIN_WORDS`` words whose chunks all stand in earlier documents."""
+    out: list[list[int]] = []
+    for start, stop, words, first in run:
+        if first == doc_id:
+            continue
+        if out and out[-1][1] == start:
+            out[-1][1], out[-1][2] = stop, out[-1][2] + words
+        else:
+            out.append([start, stop, words])
+    return [tuple(part) for part in out if part[2] >= MIN_WORDS]
+
+
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Chunks in a row become repeats; those long enough are kept."""
     for batch in batches:
@@ -126,8 +145,13 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if run and start != run[-1][1]:
                     words = sum(chunk[2] for chunk in run)
                     if words >= MIN_WORDS:
-                        spare = [chunk for chunk in run if chunk[3] != doc_id]
-                        out.append((doc_id, run[0][0], run[-1][1], words, min(chunk[3] for chunk in run), sum(chunk[2] for chunk in spare), [[chunk[0], chunk[1]] for chunk in spare]))
+                        spare = _spare(run, doc_id)
+                        # the document that most of it is first found in
+                        firsts = Counter()
+                        for chunk in run:
+                            firsts[chunk[3]] += chunk[2]
+                        main = min(firsts, key=lambda first: (-firsts[first], first))
+                        out.append((doc_id, run[0][0], run[-1][1], words, main, sum(n for _, _, n in spare), [[a, b] for a, b, _ in spare]))
                     run = []
                 if place is not None:
                     run.append((start, start + ((place >> 16) & 0xFFFF), place & 0xFFFF, first))
@@ -137,8 +161,8 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each passage that other documents repeat, in each document that has it.
 
-    ``doc_id, start, stop`` (code points, end exclusive), ``n_words``; ``first_doc_id`` is the first
-    document with any of it; ``spare`` are the parts that an earlier document has, ``n_spare_words`` their words.
+    ``doc_id, start, stop`` (code points, end exclusive), ``n_words``; ``first_doc_id`` is the
+    document most of it is first found in; ``spare`` are the parts that earlier documents have, ``n_spare_words`` their words.
     """
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     cut = written(slim.mapInArrow(chunker, "doc_id long, places array<bigint>, digests array<bigint>"), "chunks")

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from touchline.llm import pii, secrets_scan
 from touchline.llm.chunk_dedup import repeats
+from touchline.llm.fixity import archive, audited, manifest
 from touchline.llm.mixing import mixture
 from touchline.llm.ngram_join import ngram_join
 from touchline.llm.packing import pack
 from touchline.llm.quality_rules import quality
+from touchline.llm.token_store import index_of, stored
 from touchline.llm.vector_dedup import vector_links
 from touchline.llm.words import read, shipped
 
@@ -39,6 +41,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read(spark, sf_dir, "documents")).drop("digest")
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    return index_of(stored(read(spark, sf_dir, "documents")))
+
+
 def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that documents share, in each document that has them."""
     shipped(spark)
@@ -52,6 +59,18 @@ def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links(read(spark, sf_dir, "embeddings"))
 
 
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the pages' archive, and whether a replica with flipped bytes still holds it.
+
+    The replica is the archive with one byte changed in about one record of 256, told by its hash.
+    """
+    shipped(spark)
+    original = archive(read(spark, sf_dir, "pages"))
+    damaged = F.when(F.startswith(F.sha2("record", 256), F.lit("00")), F.expr("overlay(record PLACING X'00' FROM 40 FOR 1)"))
+    replica = original.withColumn("record", F.coalesce(damaged, "record"))
+    return audited(manifest(original), replica).select("page_id", "start", "length", "sha256", "intact")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(read(spark, sf_dir, "documents"))
 
@@ -72,10 +91,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_store": op2_token_store,
     "op3_chunk_dedup": op3_chunk_dedup,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
     "op6_vector_dedup": op6_vector_dedup,
+    "op7_warc_fixity": op7_warc_fixity,
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
@@ -106,7 +127,7 @@ VECTOR_DEDUP_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
 links AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id <> y.vec_id
@@ -118,7 +139,19 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = reach.vec_id) AS n_li
   min(other) AS component_id, vec_id = min(other) AS kept
 FROM reach GROUP BY vec_id"""
 
+WARC_FIXITY_SQL = r"""
+WITH r AS (
+  SELECT page_id, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:sha256:' || sha256(b) || '>'
+    || e || 'WARC-Date: 2000-01-01T00:00:00Z' || e || 'WARC-Target-URI: ' || u || e || 'Content-Type: text/html'
+    || e || 'Content-Length: ' || strlen(b) || e || e || b || e || e AS record
+  FROM (SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS b, chr(13) || chr(10) AS e FROM pages))
+SELECT page_id,
+  CAST(coalesce(sum(strlen(record)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+  strlen(record) AS length, sha256(record) AS sha256, NOT starts_with(sha256(record), '00') AS intact
+FROM r"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_ngram_join": NGRAM_JOIN_SQL,
     "op6_vector_dedup": VECTOR_DEDUP_SQL,
+    "op7_warc_fixity": WARC_FIXITY_SQL,
 }
