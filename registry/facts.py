@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import derived as d
 from registry.register import Entry, table, with_sql
 from touchline.operators import dims, sides, standings, streaks, versions
-from touchline.operators.calendar import END_DAY, FIRST_DAY
-from touchline.operators.grid import DayGrid, grid_left_join, points_within, weeks
+from touchline.operators.grid import days_of, grid_left_join, points_within
 from touchline.operators.ordered import ranked, row_number, running_sum
 from touchline.plans import contracts
 from touchline.plans import values as v
 from touchline.plans.warehouse import no_points
 from touchline.sources.tables import scratch_table
 
-GRID = weeks(FIRST_DAY, END_DAY)
-
 
 # --- two rows per match ----------------------------------------------------------------------
 
@@ -328,7 +323,7 @@ _TABLE_ORDER = """running_total_pts DESC NULLS LAST,
 def weekly_rankings(spark: SparkSession, folder: str) -> DataFrame:
     # the history feeds the size check, the empty weeks and the snapshot: written once, read thrice
     history = scratch_table(_versions(spark, folder), "versions")
-    weekly = versions.weekly_standings(history, GRID).select(*contracts.WEEKLY)
+    weekly = versions.weekly_standings(history).select(*contracts.WEEKLY)
     return weekly.orderBy(F.col("week_start_date").desc())
 
 
@@ -338,7 +333,8 @@ WEEKLY_PARTS = [
          FROM history)""",
     f"""SELECT week AS week_start_date, closed.* EXCLUDE (team_logo_url),
                row_number() OVER (PARTITION BY week, competition_id ORDER BY {_TABLE_ORDER}) AS ranking
-        FROM generate_series(TIMESTAMP '1999-12-27', TIMESTAMP '2049-12-27', INTERVAL 7 DAYS) AS weeks(week)
+        FROM (SELECT unnest(generate_series(date_trunc('week', min(version_start_at)),
+                date_trunc('week', max(version_end_at)), INTERVAL 7 DAYS)) AS week FROM closed) AS weeks
         LEFT JOIN closed ON week >= version_start_at AND week < version_end_at""",
 ]
 WEEKLY_RANKINGS = with_sql(*_HISTORY, *WEEKLY_PARTS)
@@ -346,8 +342,7 @@ WEEKLY_RANKINGS = with_sql(*_HISTORY, *WEEKLY_PARTS)
 
 def week_end_rankings(spark: SparkSession, folder: str) -> DataFrame:
     history = scratch_table(_versions(spark, folder), "versions")
-    grid = weeks(FIRST_DAY, END_DAY, day=6)
-    ranked = versions.ranked_at_week_ends(history, grid)
+    ranked = versions.ranked_at_week_ends(history)
     return ranked.select(
         "week_start_date",
         "week_end_date",
@@ -367,7 +362,9 @@ WEEK_END_RANKINGS = with_sql(
               season_id, running_home_pts, running_away_pts, running_total_pts,
               row_number() OVER (PARTITION BY competition_id, week_end
                 ORDER BY running_total_pts DESC NULLS LAST, team_id, season_id, match_id) AS ranking
-       FROM generate_series(TIMESTAMP '2000-01-02', TIMESTAMP '2050-01-02', INTERVAL 7 DAYS) AS weeks(week_end)
+       FROM (SELECT unnest(generate_series(date_trunc('week', min(version_start_at)) + INTERVAL 6 DAYS,
+               date_trunc('week', max(version_start_at)) + INTERVAL 6 DAYS, INTERVAL 7 DAYS)) AS week_end
+             FROM history) AS weeks
        JOIN history ON week_end BETWEEN version_start_at AND version_end_at""",
 )
 
@@ -375,9 +372,6 @@ WEEK_END_RANKINGS = with_sql(
 # --- snapshots and streaks of events ---------------------------------------------------------
 
 
-EVENT_DAYS = DayGrid(dt.date(2023, 12, 30), dt.date(2024, 2, 5), step_days=1)
-
-
 def _event_state(spark: SparkSession, folder: str) -> DataFrame:
     """Each user's event count and total after each event, valid until the next one."""
     cents = F.round(F.col("value") * 100).cast("bigint")
@@ -403,13 +397,15 @@ EVENT_VERSIONS = with_sql(_EVENT_STATE, "FROM state")
 
 def daily_event_state(spark: SparkSession, folder: str) -> DataFrame:
     state = _event_state(spark, folder).select("user_id", "valid_from", "valid_to", "events_so_far", "cents_so_far")
-    return grid_left_join(state, EVENT_DAYS, "day", "valid_from", "valid_to")
+    days = days_of(table(spark, folder, "events"), "ts", "ts")
+    return grid_left_join(state, days, "day", "valid_from", "valid_to")
 
 
 DAILY_EVENT_STATE = with_sql(
     _EVENT_STATE,
     """SELECT day, user_id, valid_from, valid_to, events_so_far, cents_so_far
-       FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-05', INTERVAL 1 DAY) AS days(day)
+       FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS day
+             FROM events) AS days
        LEFT JOIN state ON day >= valid_from AND day < valid_to""",
 )
 
@@ -417,7 +413,8 @@ DAILY_EVENT_STATE = with_sql(
 def daily_event_leaders(spark: SparkSession, folder: str) -> DataFrame:
     """Users ranked by total at each midnight; the closed form of the range join."""
     state = _event_state(spark, folder).select("user_id", "valid_from", "valid_to", "cents_so_far")
-    at_days = points_within(state, EVENT_DAYS, "day", "valid_from", "valid_to", closed=True)
+    days = days_of(table(spark, folder, "events"), "ts", "ts")
+    at_days = points_within(state, days, "day", "valid_from", "valid_to", closed=True)
     order = [F.col("cents_so_far").desc_nulls_last(), F.col("user_id"), F.col("valid_from")]
     return ranked(at_days, ["day"], order)
 
@@ -426,7 +423,8 @@ DAILY_EVENT_LEADERS = with_sql(
     _EVENT_STATE,
     """SELECT day, user_id, valid_from, valid_to, cents_so_far,
               row_number() OVER (PARTITION BY day ORDER BY cents_so_far DESC, user_id, valid_from) AS ranking
-       FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-05', INTERVAL 1 DAY) AS days(day)
+       FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS day
+             FROM events) AS days
        JOIN state ON day BETWEEN valid_from AND valid_to""",
 )
 

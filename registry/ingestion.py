@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from registry import derived as d
 from registry import raw
 from registry.register import Entry, table, with_sql
 from touchline.sources import landing, schemas
-from touchline.sources.tables import scratch_table
+from touchline.session import shared_folder
+from touchline.sources.tables import create_or_replace
 
 
 def match_payloads(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,8 +165,32 @@ CONCAT_PAGES = """
 
 
 def replaced_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Written to the shared folder and read from there."""
-    return scratch_table(d.matches(spark, folder), "matches").filter("status = 'finished'")
+    """A table written, then replaced with something made of itself."""
+    first = create_or_replace(d.matches(spark, folder), "replaced_matches")
+    return create_or_replace(first.filter("status = 'finished'"), "replaced_matches")
+
+
+def landed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The responses as files of one line each response, read, parsed and counted."""
+    path = f"{shared_folder(spark)}/responses-{uuid.uuid4().hex}"
+    match_payloads(spark, folder).select(F.col("payload").alias("value")).write.text(path)
+    parsed = landing.parse(landing.read_payloads(spark, path), "matches array<struct<id:long, status:string>>")
+    landed = landing.good(parsed).select(F.explode("parsed.matches").alias("m")).select("m.*").distinct()
+    by_status = landed.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return by_status.union(landing.bad(parsed).agg(F.lit("unreadable"), F.count(F.lit(1))))
+
+
+LANDED_FILES = with_sql(
+    d.SQL_PAIRINGS,
+    """landed AS (
+         SELECT DISTINCT o_orderkey, CASE WHEN copy = 1 THEN 'SCHEDULED' WHEN o_orderstatus = 'F' THEN 'FINISHED'
+                  WHEN o_orderstatus = 'O' THEN 'IN_PLAY' ELSE 'TIMED' END AS status
+         FROM pairings, (VALUES (0), (1)) AS copies(copy)
+         WHERE (copy = 0 OR o_orderkey % 7 = 0) AND o_orderkey % 97 <> 0)""",
+    """SELECT status, count(*) AS n FROM landed GROUP BY status
+       UNION ALL SELECT 'unreadable', count(*) FROM pairings, (VALUES (0), (1)) AS copies(copy)
+       WHERE (copy = 0 OR o_orderkey % 7 = 0) AND o_orderkey % 97 = 0""",
+)
 
 
 REPLACED_TABLE = with_sql(d.SQL_MATCHES, "FROM matches WHERE status = 'finished'")
@@ -176,5 +203,6 @@ ENTRIES = {
     "landing_tally": Entry(landing_tally, LANDING_TALLY),
     "landing_bad": Entry(landing_bad, LANDING_BAD),
     "concat_pages": Entry(concat_pages, CONCAT_PAGES),
+    "landed_files": Entry(landed_files, LANDED_FILES),
     "replaced_table": Entry(replaced_table, REPLACED_TABLE),
 }

@@ -268,16 +268,16 @@ def test_streaks(spark, limits):
 
 def test_two_matches_at_one_time(spark):
     df = spark.createDataFrame([("u", T0, "1", "win"), ("u", T0, "2", "loss"), ("u", hours(1), "3", "loss")], RESULTS)
-    found = streaks.streaks(df, ["k"], "at", "r", "id").orderBy("streak_number").collect()
+    found = streaks.streaks(df, ["k"], "at", "r", "id", lists=True).orderBy("streak_number").collect()
     assert [s.members for s in found] == [["1"], ["2", "3"]]
 
 
 def test_long_streaks_keep_their_numbers_and_members(spark):
     data = [("u", hours(i), f"{i:03}", "win") for i in range(30)] + [("u", hours(99), "x", "loss")]
     df = spark.createDataFrame(data, RESULTS)
-    long, short = streaks.streaks(df, ["k"], "at", "r", "id", list_limit=10).orderBy("streak_number").collect()
-    assert (long.members, long.member_times, long.number_of_members, long.last_member) == (None, None, 30, "029")
-    assert short.members == ["x"]
+    long, short = streaks.streaks(df, ["k"], "at", "r", "id", lists=True).orderBy("streak_number").collect()
+    assert (long.members, long.number_of_members, long.last_member) == ([f"{i:03}" for i in range(30)], 30, "029")
+    assert long.member_times == [hours(i) for i in range(30)] and short.members == ["x"]
     members = streaks.streak_members(df, ["k"], "at", "r", "id").filter("streak_number = 1")
     assert [r.id for r in members.orderBy("position").collect()] == [f"{i:03}" for i in range(30)]
 

@@ -307,7 +307,15 @@ def test_tables_are_written_and_replaced(spark, raw):
         with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
             create_or_replace(again.select(F.expr("1 / (id - 1)")), "warehouse_test.streaks")
         assert rows(source(spark, "warehouse_test", "streaks")) == [(1,), (2,)]
-        assert not [t.name for t in spark.catalog.listTables("warehouse_test") if "__" in t.name]
+        # a reader that began before the replacement still has its rows
+        reader = source(spark, "warehouse_test", "streaks")
+        create_or_replace(spark.range(9), "warehouse_test.streaks")
+        assert rows(reader) == [(1,), (2,)] and source(spark, "warehouse_test", "streaks").count() == 9
+        # one version before the current one is kept
+        assert len([t.name for t in spark.catalog.listTables("warehouse_test") if t.name.startswith("streaks__")]) == 2
+        # a plain table of the name becomes the version before
+        spark.range(4).write.saveAsTable("warehouse_test.plain")
+        assert create_or_replace(spark.table("warehouse_test.plain").filter("id > 1"), "warehouse_test.plain").count() == 2
     finally:
         spark.sql("DROP DATABASE warehouse_test CASCADE")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import cache
 
@@ -30,11 +31,13 @@ def split_text(text: Column | str, separator: str) -> Column:
 def _accent_table() -> tuple[str, str]:
     """Letters that decompose into one base letter plus marks, then the bare marks.
 
-    Derived by rule from the Unicode decompositions of U+00C0..U+2FFF, which covers the
-    alphabetic scripts with accents. Letters such as o-slash do not decompose and stay.
+    Derived by rule from the Unicode decompositions of all code points. Letters such as o-slash do
+    not decompose and stay, and so do Korean syllables, whose parts are letters and no marks.
     """
     letters, plain, marks = [], [], []
-    for point in range(0xC0, 0x3000):
+    for point in range(0xC0, sys.maxunicode + 1):
+        if 0xD800 <= point <= 0xDFFF or 0xAC00 <= point <= 0xD7A3:
+            continue
         letter = chr(point)
         if unicodedata.category(letter).startswith("M"):
             marks.append(letter)

@@ -20,8 +20,9 @@ def latest_row(
     """The row with the greatest ``newest`` of each key; NULL counts as oldest.
 
     Spark keeps one row per key and map task before the shuffle (``WindowGroupLimit``), so a
-    key with a large share of all rows is no burden. Ties fall to ``ties`` (ascending), then
-    to a hash of the whole row, which makes the choice repeatable.
+    key with a large share of all rows is no burden. Ties fall to ``ties`` (ascending), which should
+    settle them. Without ``ties`` they fall to a hash of the whole row: that makes the choice
+    repeatable too, but reads and hashes every column.
     """
     order = [as_column(newest).desc_nulls_last(), *_tie_order(df, ties)]
     return _first_row(df, keys, order)
@@ -38,7 +39,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def _tie_order(df: DataFrame, ties: Sequence[Column | str]) -> list[Column]:
-    return [as_column(tie).asc_nulls_last() for tie in ties] + [F.xxhash64(*df.columns)]
+    return [as_column(tie).asc_nulls_last() for tie in ties] or [F.xxhash64(*df.columns)]
 
 
 def _first_row(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:

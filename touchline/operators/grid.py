@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators.calendar import numbers
+from touchline.operators.calendar import FIRST_DAY, numbers
 
 
 @dataclass(frozen=True)
@@ -44,6 +44,23 @@ def weeks(start: dt.date, end: dt.date, day: int = 0) -> DayGrid:
     return DayGrid(first, last)
 
 
+def weeks_of(periods: DataFrame, start: str, end: str, day: int = 0) -> DayGrid:
+    """The same grid for all weeks that any of the periods touches: its bounds come from the data."""
+    first, last = _bounds(periods, start, end)
+    return DayGrid(FIRST_DAY, FIRST_DAY - dt.timedelta(days=1)) if first is None else weeks(first, last + dt.timedelta(days=1), day)
+
+
+def days_of(periods: DataFrame, start: str, end: str) -> DayGrid:
+    """Every midnight from the day of the first start to the day of the last end."""
+    first, last = _bounds(periods, start, end)
+    return DayGrid(FIRST_DAY, FIRST_DAY - dt.timedelta(days=1), 1) if first is None else DayGrid(first, last, 1)
+
+
+def _bounds(periods: DataFrame, start: str, end: str) -> tuple[dt.date | None, dt.date | None]:
+    first, last = periods.agg(F.to_date(F.min(start)), F.to_date(F.greatest(F.max(start), F.max(end)))).first()
+    return first, last
+
+
 def _span(grid: DayGrid, start: str, end: str, closed: bool) -> tuple[Column, Column]:
     """Numbers of the first and last grid point inside a period."""
     start_day, end_day = F.to_date(start), F.to_date(end)

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchline.functions._columns import as_column
-from touchline.session import settle
+from touchline.sources.tables import scratch_table
 
 MAX_GROUP_ROWS = 4_000_000
 """Largest group one task may sort; beyond it groups are cut into segments."""
@@ -129,7 +129,7 @@ class Ordered:
             same = same & F.col(key).eqNullSafe(F.col(f"__key{i}"))
         # Bounded by MAX_SEGMENTS, so the rows can stay where they are. Written first: making it
         # is a pass over all rows, longer than a broadcast may take, and later scans reuse it.
-        joined = local.join(F.broadcast(settle(carry)), same, "left")
+        joined = local.join(F.broadcast(scratch_table(carry, "carry")), same, "left")
         joined = joined.withColumns({n: _combined(n, s) for n, s in scans.items()})
         return joined.select(*[column for column in local.columns if column not in (_PLACE, _LAST)])
 
@@ -158,7 +158,7 @@ def ordered(
     aim = SEGMENT_ROWS if segment_rows is None else segment_rows
     order = [as_column(column) for column in order]
     if reuse:
-        df = settle(df)
+        df = scratch_table(df, "ordered")
     if sizes is None:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).withColumn("total", F.col("rows"))
     largest, total = sizes.agg(F.max("rows"), F.sum("total")).first()
@@ -168,7 +168,7 @@ def ordered(
     by_group = [F.col(key).asc_nulls_first() for key in keys]
     cut = df.repartitionByRange(segments, *by_group, *order).withColumn(_SEGMENT, F.spark_partition_id())
     # range borders come from a sample, so a second run may cut elsewhere: write the cut down
-    return Ordered(settle(cut), keys, order, segmented=True)
+    return Ordered(scratch_table(cut, "cut"), keys, order, segmented=True)
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "ranking", **options) -> DataFrame:

@@ -198,7 +198,8 @@ def no_overlapping_periods(start: str, end: str, id_column: str, keys: Sequence[
     Instead of joining each group with itself: in order of start, a period overlaps an earlier
     one if the latest end before it lies past its start, and a later one if the next start
     lies before its end. Periods without start, end, id or group overlap nothing, and a period
-    that ends before it starts is left to :func:`greater_than`.
+    that ends before it starts is left to :func:`greater_than`. Two rows that share an id and
+    overlap are reported too: an id is expected to name one period.
     """
 
     def failing(df: DataFrame) -> DataFrame:

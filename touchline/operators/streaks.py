@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from touchline.functions.keys import surrogate_key
 from touchline.operators.ordered import following, ordered, previous, row_number, running_max, running_sum
 
-LIST_LIMIT = 1_000_000
-"""Members a list column may hold; a Spark row cannot grow without bound."""
-
-
 def streak_members(
     df: DataFrame, keys: Sequence[str], at: str, value: str, member: str, **limits
 ) -> DataFrame:
@@ -46,8 +42,7 @@ def streaks(
     *,
     endpoints: str = "text",
     after_last: str = "INTERVAL 120 MINUTES",
-    lists: bool = True,
-    list_limit: int = LIST_LIMIT,
+    lists: bool = False,
     **limits,
 ) -> DataFrame:
     """One row per streak: type, length, first and last member, start, end, lists of members.
@@ -56,9 +51,8 @@ def streaks(
     ``endpoints="text"`` takes the smallest and largest member id as first and last;
     ``endpoints="time"`` takes the members played first and last.
 
-    All but the lists are mergeable aggregates. Lists are in time order. A streak longer than
-    ``list_limit`` cannot be held in one row: its lists are NULL, every other column is exact,
-    and :func:`streak_members` has all its members as rows.
+    All of it is made of mergeable aggregates. ``lists`` adds all members and their times in time
+    order, one row holding a whole streak; :func:`streak_members` has the members as rows instead.
     """
     members = streak_members(df, keys, at, value, member, **limits)
     if endpoints == "time":
@@ -68,8 +62,7 @@ def streaks(
     collected = []
     if lists:
         item = F.struct(F.col("position"), F.col(member).alias("id"), F.col(at).alias("at"))
-        listed = F.collect_list(F.when(F.col("position") <= list_limit, item))
-        collected = [F.when(F.count(F.lit(1)) <= list_limit, F.sort_array(listed)).alias("__members")]
+        collected = [F.sort_array(F.collect_list(item)).alias("__members")]
     found = members.groupBy(*keys, "streak_number").agg(
         F.count(member).alias("number_of_members"),
         F.min(value).alias("streak_type"),
@@ -97,7 +90,7 @@ def team_streaks(
         "team_id", "competition_id", "match_id", "match_at", "team_result"
     )
     found = streaks(
-        finished, ["team_id", "competition_id"], "match_at", "team_result", "match_id", endpoints=endpoints, **limits
+        finished, ["team_id", "competition_id"], "match_at", "team_result", "match_id", endpoints=endpoints, lists=True, **limits
     )
     key = surrogate_key("streak", "competition_id", "team_id", "streak_number", separator=separator)
     return (

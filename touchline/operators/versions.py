@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.keys import surrogate_key
-from touchline.operators.grid import DayGrid, grid_left_join, number_of_points, points_within
+from touchline.operators.grid import DayGrid, grid_left_join, number_of_points, points_within, weeks_of
 from touchline.operators.ordered import Scan, following, ordered, ranked, running_count, running_sum
 from touchline.operators.sides import SIDES, points_for, unpivot_sides
 from touchline.operators.standings import counting, table_order
@@ -119,9 +119,14 @@ def sizes_at_points(history: DataFrame, points: Column, versions_per_point: int
     return groups.groupBy("competition_id").agg(bound, F.sum("points").alias("total"))
 
 
-def weekly_standings(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
-    """Every table as it stood at each grid point, ranked; points without any table stay."""
+def weekly_standings(history: DataFrame, grid: DayGrid | None = None, **limits) -> DataFrame:
+    """Every table as it stood at each grid point, ranked; points without any table stay.
+
+    The grid is that of all weeks of the history unless another one is given.
+    """
     closed = with_open_end(history)
+    if grid is None:
+        grid = weeks_of(closed, "version_start_at", "version_end_at")
     at_points = grid_left_join(closed, grid, "week_start_date", "version_start_at", "version_end_at")
     order = [
         *table_order("running_total_pts", "running_number_of_goals_scored", "running_number_of_goals_conceded"),
@@ -131,11 +136,13 @@ def weekly_standings(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
     return ranked(at_points, ["week_start_date", "competition_id"], order, sizes=sizes, **limits)
 
 
-def ranked_at_week_ends(history: DataFrame, grid: DayGrid, **limits) -> DataFrame:
+def ranked_at_week_ends(history: DataFrame, grid: DayGrid | None = None, **limits) -> DataFrame:
     """The closed variant: versions that hold a week's last day, both ends included, by points.
 
     The open version has no end and holds no day; weeks without a version are left out.
     """
+    if grid is None:
+        grid = weeks_of(history, "version_start_at", "version_end_at", day=6)
     at_points = points_within(history, grid, "week_end_date", "version_start_at", "version_end_at", closed=True)
     start = F.col("week_end_date") - F.expr("INTERVAL 6 DAYS")
     order = [F.col("running_total_pts").desc_nulls_last()]

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators import dims
-from touchline.operators.calendar import END_DAY, FIRST_DAY, calendar
+from touchline.operators.calendar import calendar
 from touchline.operators.contract import enforce_contract
-from touchline.operators.grid import weeks
 from touchline.operators.sides import match_facts, per_side
 from touchline.operators.standings import standings, with_placement
 from touchline.operators.streaks import team_streaks
@@ -36,7 +35,7 @@ def no_points() -> Column:
 
 def _weekly(history: DataFrame) -> DataFrame:
     # not sorted: a table has no order, and sorting it would cost a further shuffle
-    return weekly_standings(history, weeks(FIRST_DAY, END_DAY)).select(*contracts.WEEKLY)
+    return weekly_standings(history).select(*contracts.WEEKLY)
 
 
 def _playoffs(matches: DataFrame, teams: DataFrame, competitions: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "touchline", memory: str = "8g") -> SparkSession:
@@ -41,15 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="touchline-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return context.getCheckpointDir() or named
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so that later steps read it instead of redoing it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

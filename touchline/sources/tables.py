@@ -19,11 +19,16 @@ def parquet_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+VERSION, PREVIOUS = "touchline.version", "touchline.previous"
+
+
 def create_or_replace(df: DataFrame, table: str) -> DataFrame:
     """Replace a catalog table with ``df`` and return the new table.
 
-    The rows are written beside the old table, which is exchanged only when they are complete:
-    a job that fails leaves it as it was, and ``df`` may read the table it replaces.
+    The name is a view of a version of its own. A new version is written beside it, and when it is
+    complete the view is pointed there, in one step: a job that fails changes nothing, a reader sees
+    the old rows or the new ones, and ``df`` may read what it replaces. The version before stays
+    until the next replacement, for readers that have begun on it.
     """
     spark = df.sparkSession
     fresh = f"{table}__{uuid.uuid4().hex}"
@@ -32,15 +37,23 @@ def create_or_replace(df: DataFrame, table: str) -> DataFrame:
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    before = _properties(spark, table)
+    if before is not None and VERSION not in before:
+        # a plain table of that name, made by something else: it becomes the first version
+        before = {VERSION: f"{table}__{uuid.uuid4().hex}"}
+        spark.sql(f"ALTER TABLE {table} RENAME TO {before[VERSION]}")
+    before = before or {}
+    properties = f"'{VERSION}' = '{fresh}', '{PREVIOUS}' = '{before.get(VERSION, '')}'"
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS SELECT * FROM {fresh}")
+    if before.get(PREVIOUS):
+        spark.sql(f"DROP TABLE IF EXISTS {before[PREVIOUS]}")
     return spark.table(table)
 
 
-def replace_folder(df: DataFrame, path: str) -> DataFrame:
-    """Replace a parquet folder with ``df`` and return what is there now."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _properties(spark: SparkSession, table: str) -> dict[str, str] | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
@@ -50,10 +63,10 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    table = replace_folder(df, folder)
+    df.write.parquet(folder)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return table
+    return spark.read.parquet(folder)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
