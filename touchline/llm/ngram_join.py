@@ -271,9 +271,10 @@ def _verified(docs: DataFrame, texts: DataFrame, groups: DataFrame, n: int, thre
     candidates = written(
         placed.join(texts.select(F.col("text_id").alias("node"), "digest", "first_doc", "weight"), "node"), "candidates"
     )
-    # read again only what is a candidate; a text's first document stands for its copies
+    # read again only what is a candidate; a text's first document stands for its copies. Candidates grow
+    # with the corpus, so both sides are sorted at any size instead of being broadcast while they are few
     first = candidates.withColumnsRenamed({"first_doc": "wanted", "digest": "words", "node": "text_id"})
-    again = docs.join(first, F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("words")))
+    again = docs.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.col("digest") == F.col("words")))
     once = again.select("text_id", "weight", "component", "blocks", "block", "text").dropDuplicates(["text_id"])
     pieces = once.select(
         F.col("component").alias("group"),
