@@ -117,7 +117,7 @@ def _hex_hits(text: str, data: bytes) -> Iterator[int]:
         while at > 0 and text[at - 1] in "0123456789abcdef":
             at -= 1
         yield at
-        last = int(probe) * _HEX_STEP + _HEX_STEP + 1
+        last = int(probe) * _HEX_STEP + 1
         while last < len(text) and text[last] in "0123456789abcdef":
             last += 1
 
