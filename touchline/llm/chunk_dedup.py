@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.encoding import slices
 from touchline.llm.words import written
 
 WINDOW = 16
@@ -84,7 +85,7 @@ def packed_place(start: np.ndarray, size: np.ndarray, words: np.ndarray) -> np.n
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` to ``doc_id, places, digests``; places in code points."""
     gear, digest = _gear(), xxhash.xxh3_64_intdigest
-    for batch in batches:
+    for batch in slices(batches, 4 * 1024 * 1024):
         texts = batch.column(1).cast(pa.large_string()).fill_null("")
         raw = texts.to_pylist()
         encoded = [text.encode("utf-8", "surrogatepass") for text in raw]

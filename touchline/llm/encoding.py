@@ -9,9 +9,11 @@ equal pieces are found by Arrow, and the tokenizers library only sees pieces not
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -19,6 +21,18 @@ KNOWN = 1_000_000
 """Pieces a worker remembers; beyond it starts afresh."""
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 8 * 1024 * 1024) -> Iterator[pa.RecordBatch]:
+    """The batches cut where their texts, in the second column, pass ``size`` bytes: it bounds what a worker holds."""
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        low = 0
+        while low < len(batch):
+            before = total[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(total, before + size, side="right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def path_of(name: str) -> str:
     return public_tokenizers.path(name)
 

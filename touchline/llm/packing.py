@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.encoding import Encoder, path_of
+from touchline.llm.encoding import Encoder, path_of, slices
 from touchline.llm.words import written
 
 LIMIT = 2048
@@ -96,7 +96,7 @@ def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, schema = Encoder.of(path), _arrow_schema(with_ids)
         waiting: list[tuple[int, list[dict]]] = []
-        for batch in batches:
+        for batch in slices(batches):
             ids, places = encoder.encode(batch.column(1))
             numbers = batch.column(0).to_pylist()
             full = []

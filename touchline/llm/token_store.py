@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchline.llm import range_coder
-from touchline.llm.encoding import Encoder, path_of
+from touchline.llm.encoding import Encoder, path_of, slices
 from touchline.llm.words import written
 
 END_ID = 0
@@ -44,7 +44,7 @@ def encoder_of(path: str, segment_ids: int):
             names = ["part", "segment", "doc_ids", "lengths", "blocks"]
             return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(row, types, strict=True)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, places = encoder.encode(batch.column(1))
             for number, low, high in zip(batch.column(0).to_pylist(), places[:-1].tolist(), places[1:].tolist(), strict=True):
                 held.append(np.append(ids[low:high], np.uint32(END_ID)))
