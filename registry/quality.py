@@ -185,9 +185,9 @@ def equal_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 EQUAL_COUNTS = with_sql(
     _EVENTS,
-    """SELECT count(*) FILTER (event_type = 'view') AS number_of_x_values,
-              count(*) FILTER (event_type = 'click') AS number_of_y_values
-       FROM facts HAVING number_of_x_values <> number_of_y_values""",
+    """counted AS (SELECT event_type AS value, count(*) AS rows FROM facts
+                     WHERE event_type IN ('view', 'click') GROUP BY event_type)""",
+    "FROM counted WHERE (SELECT count(DISTINCT rows) FROM counted) > 1",
 )
 
 
@@ -239,7 +239,7 @@ NOT_NULL_BUT_LATEST = with_sql(
 
 def scan_is_true(spark: SparkSession, folder: str) -> DataFrame:
     check = q.scan_is_true(
-        "cents >= cents_before", ["user_id"], ["ts"], {"cents_before": previous("cents")}, where="event_type = 'view'"
+        "cents >= cents_before", ["user_id"], ["ts", "event_id"], {"cents_before": previous("cents")}, where="event_type = 'view'"
     )
     return check.failing(_events(spark, folder))
 
@@ -247,7 +247,7 @@ def scan_is_true(spark: SparkSession, folder: str) -> DataFrame:
 SCAN_IS_TRUE = with_sql(
     _EVENTS,
     """FROM (FROM facts WHERE event_type = 'view') AS views
-       QUALIFY cents < lag(cents) OVER (PARTITION BY user_id ORDER BY ts)""",
+       QUALIFY cents < lag(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 
 

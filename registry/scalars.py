@@ -299,10 +299,10 @@ SORTED_DISTINCT = "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders OR
 
 def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The five newest events."""
-    return preview(table(spark, folder, "events").orderBy(F.col("ts").desc()))
+    return preview(table(spark, folder, "events").orderBy(F.col("ts").desc(), "event_id"))
 
 
-PREVIEW_ROWS = "FROM events ORDER BY ts DESC LIMIT 5"
+PREVIEW_ROWS = "FROM events ORDER BY ts DESC, event_id LIMIT 5"
 
 
 ENTRIES = {

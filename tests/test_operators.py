@@ -53,7 +53,7 @@ def test_corrections(spark):
 
 def test_nested_ids(spark):
     df = spark.createDataFrame([([(3,), (1,)],), ([(1,), (None,)],), ([],), (None,)], "squad array<struct<id:int>>")
-    assert [row.id for row in nested_ids(df, "squad").collect()] == [1, 3, None]
+    assert rows(nested_ids(df, "squad")) == [(1,), (3,), (None,)]
 
 
 def test_pages_of_different_columns(spark):

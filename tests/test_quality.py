@@ -70,7 +70,7 @@ def test_relationships(spark, df):
 
 
 def test_counts_and_minimum(df):
-    assert rows(q.equal_counts("name", "a", "b").failing(df)) == [(2, 1)]
+    assert rows(q.equal_counts("name", "a", "b").failing(df)) == [("a", 2), ("b", 1)]
     assert rows(q.equal_counts("name", "cc", "b").failing(df)) == []
     assert q.minimum_after("x", F.lit(-2)).failing(df).count() == 0
     assert q.minimum_after("x", F.lit(-1)).failing(df).count() == 5

@@ -9,9 +9,8 @@ from touchline.operators.ordered import ranked
 
 
 def nested_ids(df: DataFrame, items: str, field: str = "id", name: str = "id") -> DataFrame:
-    """Distinct values of one field of a nested list, sorted."""
-    found = df.select(F.explode(f"{items}.{field}").alias(name)).distinct()
-    return found.orderBy(F.col(name).asc_nulls_last())
+    """Distinct values of one field of a nested list, in no order; a listing sorts them itself."""
+    return df.select(F.explode(f"{items}.{field}").alias(name)).distinct()
 
 
 def batches(ids: DataFrame, column: str, size: int = 100, **limits) -> DataFrame:

@@ -163,14 +163,12 @@ def _missing(values: DataFrame, parent: DataFrame, field: str) -> DataFrame:
 
 
 def equal_counts(column: str, x: object, y: object) -> Check:
-    """As many rows with ``x`` as with ``y``."""
+    """As many rows with ``x`` as with ``y``; if not, both with their number of rows."""
 
     def failing(df: DataFrame) -> DataFrame:
-        value = F.col(column)
-        counts = df.agg(
-            F.count_if(value == x).alias("number_of_x_values"), F.count_if(value == y).alias("number_of_y_values")
-        )
-        return counts.filter("number_of_x_values != number_of_y_values")
+        counted = df.agg(*[F.count_if(F.col(column) == value).alias(name) for name, value in (("first", x), ("second", y))])
+        each = [F.struct(F.lit(value).alias("value"), F.col(name).alias("rows")) for name, value in (("first", x), ("second", y))]
+        return counted.filter("first != second").select(F.inline(F.array(*each)))
 
     return Check(f"equal_counts({column}: {x}, {y})", failing)
 

@@ -1,130 +1,274 @@
-"""Columns and types of the warehouse's tables. Fixed values."""
+"""Columns and types of the warehouse's tables. Names, types and order are as declared."""
 
-TEXT, WHOLE, COUNT, MOMENT, DAY, LIST = "string", "int", "bigint", "timestamp_ntz", "date", "array<string>"
+TEXT, WHOLE, COUNT, MOMENT, DAY = "string", "int", "bigint", "timestamp_ntz", "date"
+LIST, MOMENTS = "array<string>", "array<timestamp_ntz>"
 
-
-def _columns(dtype: str, names: str) -> dict[str, str]:
-    return dict.fromkeys(names.split(), dtype)
-
-
-AREAS = _columns(
-    TEXT, "country_id area_id country_name country_code continent_id continent_name parent_area_id"
-)
-COMPETITIONS = _columns(
-    TEXT, "competition_id competition_name competition_code competition_type country_name current_season_id"
-)
+AREAS = {
+    "country_id": TEXT,
+    "area_id": TEXT,
+    "country_name": TEXT,
+    "country_code": TEXT,
+    "continent_id": TEXT,
+    "continent_name": TEXT,
+    "parent_area_id": TEXT,
+}
+COMPETITIONS = {
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "competition_code": TEXT,
+    "competition_type": TEXT,
+    "country_name": TEXT,
+    "current_season_id": TEXT,
+}
 MATCHES = {
     "match_id": TEXT,
     "match_at": MOMENT,
     "status": TEXT,
     "matchday_number": WHOLE,
-    **_columns(TEXT, "stage home_team_id away_team_id"),
+    "stage": TEXT,
+    "home_team_id": TEXT,
+    "away_team_id": TEXT,
     "referees_ids": LIST,
-    **_columns(TEXT, "winner duration_type"),
-    **_columns(WHOLE, "full_time_home_score full_time_away_score half_time_home_score half_time_away_score"),
-    **_columns(TEXT, "area_id competition_id season_id"),
+    "winner": TEXT,
+    "duration_type": TEXT,
+    "full_time_home_score": WHOLE,
+    "full_time_away_score": WHOLE,
+    "half_time_home_score": WHOLE,
+    "half_time_away_score": WHOLE,
+    "area_id": TEXT,
+    "competition_id": TEXT,
+    "season_id": TEXT,
     "last_updated_at": MOMENT,
 }
 TEAMS = {
-    **_columns(TEXT, "team_id team_name team_short_name team_code country_name team_address website_url logo_url"),
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "team_short_name": TEXT,
+    "team_code": TEXT,
+    "country_name": TEXT,
+    "team_address": TEXT,
+    "website_url": TEXT,
+    "logo_url": TEXT,
     "foundation_year_date": DAY,
     "team_colors": LIST,
-    **_columns(TEXT, "arena_name main_competition_id"),
-    **_columns(LIST, "running_competitions_ids player_ids"),
+    "arena_name": TEXT,
+    "main_competition_id": TEXT,
+    "running_competitions_ids": LIST,
+    "player_ids": LIST,
     "coach_id": TEXT,
-    **_columns(DAY, "coach_contract_start_date coach_contract_end_date"),
+    "coach_contract_start_date": DAY,
+    "coach_contract_end_date": DAY,
     "season_id": TEXT,
 }
 COACHES = {
-    **_columns(TEXT, "coach_id first_name last_name full_name"),
+    "coach_id": TEXT,
+    "first_name": TEXT,
+    "last_name": TEXT,
+    "full_name": TEXT,
     "birth_date": DAY,
     "nationality": TEXT,
 }
-REFEREES = _columns(TEXT, "referee_id full_name nationality")
+REFEREES = {
+    "referee_id": TEXT,
+    "full_name": TEXT,
+    "nationality": TEXT,
+}
 STAGED_SEASONS = {
-    **_columns(TEXT, "season_uid season_id"),
-    **_columns(DAY, "start_date end_date"),
+    "season_uid": TEXT,
+    "season_id": TEXT,
+    "start_date": DAY,
+    "end_date": DAY,
     "competition_id": TEXT,
 }
 STAGED_PLAYERS = {
-    **_columns(TEXT, "player_id name first_name last_name"),
+    "player_id": TEXT,
+    "name": TEXT,
+    "first_name": TEXT,
+    "last_name": TEXT,
     "date_of_birth": DAY,
-    **_columns(TEXT, "nationality section position"),
+    "nationality": TEXT,
+    "section": TEXT,
+    "position": TEXT,
     "player_number": WHOLE,
     "current_team_id": TEXT,
-    **_columns(DAY, "contract_start_month contract_end_month"),
+    "contract_start_month": DAY,
+    "contract_end_month": DAY,
     "last_updated_at": MOMENT,
 }
 MATCHES_PER_TEAM = {
-    **_columns(TEXT, "team_match_id match_id competition_id team_id team_playing_location"),
+    "team_match_id": TEXT,
+    "match_id": TEXT,
+    "competition_id": TEXT,
+    "team_id": TEXT,
+    "team_playing_location": TEXT,
     "match_at": MOMENT,
-    **_columns(TEXT, "match_status match_stage team_result"),
+    "match_status": TEXT,
+    "match_stage": TEXT,
+    "team_result": TEXT,
 }
 MATCH_FACTS = {
-    **_columns(TEXT, "team_match_id match_id competition_id competition_name team_id team_name team_logo_url"),
+    "team_match_id": TEXT,
+    "match_id": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "team_logo_url": TEXT,
     "team_playing_location": TEXT,
-    **_columns(MOMENT, "match_at match_month"),
-    **_columns(TEXT, "team_result match_status match_stage"),
-    **_columns(TEXT, "opponent_team_id opponent_team_name opponent_team_logo_url"),
-    **_columns(WHOLE, "home_pts away_pts total_pts goals_scored goals_conceded"),
+    "match_at": MOMENT,
+    "match_month": MOMENT,
+    "team_result": TEXT,
+    "match_status": TEXT,
+    "match_stage": TEXT,
+    "opponent_team_id": TEXT,
+    "opponent_team_name": TEXT,
+    "opponent_team_logo_url": TEXT,
+    "home_pts": WHOLE,
+    "away_pts": WHOLE,
+    "total_pts": WHOLE,
+    "goals_scored": WHOLE,
+    "goals_conceded": WHOLE,
 }
 STANDINGS = {
     "current_placement_id": TEXT,
     "ranking": COUNT,
-    **_columns(TEXT, "competition_name competition_id team_name team_logo_url team_id"),
-    **_columns(COUNT, "home_pts away_pts total_pts"),
-    **_columns(COUNT, "number_of_home_matches number_of_away_matches total_number_of_matches"),
-    **_columns(COUNT, "goals_scored_at_home goals_conceded_at_home goals_scored_away goals_conceded_away"),
-    **_columns(COUNT, "total_goals_scored total_goals_conceded"),
-    **_columns(COUNT, "number_of_home_wins number_of_home_draws number_of_home_losses"),
-    **_columns(COUNT, "number_of_away_wins number_of_away_draws number_of_away_losses"),
-    **_columns(COUNT, "number_of_wins number_of_draws number_of_losses"),
-}
-RUNNING = (
-    "running_number_of_wins running_number_of_draws running_number_of_losses "
-    "running_home_pts running_away_pts running_total_pts "
-    "running_number_of_goals_scored running_number_of_goals_conceded running_total_number_of_goals_in_matches "
-    "running_number_of_goals_scored_at_home running_number_of_goals_scored_away "
-    "running_number_of_goals_conceded_at_home running_number_of_goals_conceded_away"
-)
-PER_VERSION = (
-    "version_number_of_wins version_number_of_draws version_number_of_losses "
-    "version_home_pts version_away_pts version_total_pts "
-    "version_number_of_goals_scored version_number_of_goals_conceded version_total_number_of_goals_in_match"
-)
+    "competition_name": TEXT,
+    "competition_id": TEXT,
+    "team_name": TEXT,
+    "team_logo_url": TEXT,
+    "team_id": TEXT,
+    "home_pts": COUNT,
+    "away_pts": COUNT,
+    "total_pts": COUNT,
+    "number_of_home_matches": COUNT,
+    "number_of_away_matches": COUNT,
+    "total_number_of_matches": COUNT,
+    "goals_scored_at_home": COUNT,
+    "goals_conceded_at_home": COUNT,
+    "goals_scored_away": COUNT,
+    "goals_conceded_away": COUNT,
+    "total_goals_scored": COUNT,
+    "total_goals_conceded": COUNT,
+    "number_of_home_wins": COUNT,
+    "number_of_home_draws": COUNT,
+    "number_of_home_losses": COUNT,
+    "number_of_away_wins": COUNT,
+    "number_of_away_draws": COUNT,
+    "number_of_away_losses": COUNT,
+    "number_of_wins": COUNT,
+    "number_of_draws": COUNT,
+    "number_of_losses": COUNT,
+}
 VERSIONS = {
-    **_columns(TEXT, "standings_version_id match_id"),
-    **_columns(MOMENT, "version_start_at version_end_at"),
-    **_columns(TEXT, "team_id team_name team_logo_url competition_id competition_name season_id season_name"),
-    **_columns(WHOLE, PER_VERSION),
-    **_columns(COUNT, RUNNING),
+    "standings_version_id": TEXT,
+    "match_id": TEXT,
+    "version_start_at": MOMENT,
+    "version_end_at": MOMENT,
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "team_logo_url": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "season_id": TEXT,
+    "season_name": TEXT,
+    "version_number_of_wins": WHOLE,
+    "version_number_of_draws": WHOLE,
+    "version_number_of_losses": WHOLE,
+    "version_home_pts": WHOLE,
+    "version_away_pts": WHOLE,
+    "version_total_pts": WHOLE,
+    "version_number_of_goals_scored": WHOLE,
+    "version_number_of_goals_conceded": WHOLE,
+    "version_total_number_of_goals_in_match": WHOLE,
+    "running_number_of_wins": COUNT,
+    "running_number_of_draws": COUNT,
+    "running_number_of_losses": COUNT,
+    "running_home_pts": COUNT,
+    "running_away_pts": COUNT,
+    "running_total_pts": COUNT,
+    "running_number_of_goals_scored": COUNT,
+    "running_number_of_goals_conceded": COUNT,
+    "running_total_number_of_goals_in_matches": COUNT,
+    "running_number_of_goals_scored_at_home": COUNT,
+    "running_number_of_goals_scored_away": COUNT,
+    "running_number_of_goals_conceded_at_home": COUNT,
+    "running_number_of_goals_conceded_away": COUNT,
 }
 WEEKLY = {
     "week_start_date": MOMENT,
-    **{name: dtype for name, dtype in VERSIONS.items() if name != "team_logo_url"},
+    "standings_version_id": TEXT,
+    "match_id": TEXT,
+    "version_start_at": MOMENT,
+    "version_end_at": MOMENT,
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "season_id": TEXT,
+    "season_name": TEXT,
+    "version_number_of_wins": WHOLE,
+    "version_number_of_draws": WHOLE,
+    "version_number_of_losses": WHOLE,
+    "version_home_pts": WHOLE,
+    "version_away_pts": WHOLE,
+    "version_total_pts": WHOLE,
+    "version_number_of_goals_scored": WHOLE,
+    "version_number_of_goals_conceded": WHOLE,
+    "version_total_number_of_goals_in_match": WHOLE,
+    "running_number_of_wins": COUNT,
+    "running_number_of_draws": COUNT,
+    "running_number_of_losses": COUNT,
+    "running_home_pts": COUNT,
+    "running_away_pts": COUNT,
+    "running_total_pts": COUNT,
+    "running_number_of_goals_scored": COUNT,
+    "running_number_of_goals_conceded": COUNT,
+    "running_total_number_of_goals_in_matches": COUNT,
+    "running_number_of_goals_scored_at_home": COUNT,
+    "running_number_of_goals_scored_away": COUNT,
+    "running_number_of_goals_conceded_at_home": COUNT,
+    "running_number_of_goals_conceded_away": COUNT,
     "ranking": COUNT,
 }
 STREAKS = {
-    **_columns(TEXT, "streak_id competition_id competition_name team_id team_name team_logo_url"),
+    "streak_id": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "team_logo_url": TEXT,
     "streak_match_ids": LIST,
-    "streak_match_ats": f"array<{MOMENT}>",
+    "streak_match_ats": MOMENTS,
     "streak_number_of_matches": COUNT,
-    **_columns(TEXT, "streak_type streak_start_match_id streak_end_match_id"),
-    **_columns(MOMENT, "streak_start_at streak_end_at"),
+    "streak_type": TEXT,
+    "streak_start_match_id": TEXT,
+    "streak_end_match_id": TEXT,
+    "streak_start_at": MOMENT,
+    "streak_end_at": MOMENT,
 }
 PLAYERS = {
-    **_columns(TEXT, "player_id name"),
+    "player_id": TEXT,
+    "name": TEXT,
     "date_of_birth": DAY,
     "age": COUNT,
-    **_columns(TEXT, "nationality section position"),
+    "nationality": TEXT,
+    "section": TEXT,
+    "position": TEXT,
     "player_number": WHOLE,
-    **_columns(TEXT, "team_id team_name competition_id competition_name"),
-    **_columns(DAY, "contract_start_month contract_end_month"),
+    "team_id": TEXT,
+    "team_name": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "contract_start_month": DAY,
+    "contract_end_month": DAY,
 }
 SEASONS = {
     "season_id": TEXT,
-    **_columns(DAY, "start_date end_date"),
-    **_columns(TEXT, "competition_id competition_name season_name"),
+    "start_date": DAY,
+    "end_date": DAY,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "season_name": TEXT,
 }
 PLAYOFFS = {
     "match_id": TEXT,
@@ -132,22 +276,44 @@ PLAYOFFS = {
     "status": TEXT,
     "matchday_number": WHOLE,
     "match_stage": TEXT,
-    **_columns(TEXT, "home_team_id home_team_name home_team_logo_url"),
-    **_columns(TEXT, "away_team_id away_team_name away_team_logo_url"),
+    "home_team_id": TEXT,
+    "home_team_name": TEXT,
+    "home_team_logo_url": TEXT,
+    "away_team_id": TEXT,
+    "away_team_name": TEXT,
+    "away_team_logo_url": TEXT,
     "referees_ids": LIST,
-    **_columns(TEXT, "winner duration_type"),
-    **_columns(WHOLE, "full_time_home_score full_time_away_score half_time_home_score half_time_away_score"),
-    **_columns(TEXT, "area_id competition_id competition_name season_id"),
+    "winner": TEXT,
+    "duration_type": TEXT,
+    "full_time_home_score": WHOLE,
+    "full_time_away_score": WHOLE,
+    "half_time_home_score": WHOLE,
+    "half_time_away_score": WHOLE,
+    "area_id": TEXT,
+    "competition_id": TEXT,
+    "competition_name": TEXT,
+    "season_id": TEXT,
     "last_updated_at": MOMENT,
     "stage_order": WHOLE,
 }
-COUNTRIES = _columns(TEXT, "country_id area_id country_name country_code continent_id")
-CONTINENTS = _columns(TEXT, "continent_id continent_name")
+COUNTRIES = {
+    "country_id": TEXT,
+    "area_id": TEXT,
+    "country_name": TEXT,
+    "country_code": TEXT,
+    "continent_id": TEXT,
+}
+CONTINENTS = {
+    "continent_id": TEXT,
+    "continent_name": TEXT,
+}
 CALENDAR = {
     "date_day": MOMENT,
     "date_week": COUNT,
-    **_columns(MOMENT, "week_start_date week_end_date"),
+    "week_start_date": MOMENT,
+    "week_end_date": MOMENT,
     "date_month": COUNT,
-    **_columns(TEXT, "month_name month_short_name"),
+    "month_name": TEXT,
+    "month_short_name": TEXT,
     "date_year": COUNT,
 }

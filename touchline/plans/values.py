@@ -1,4 +1,4 @@
-"""Fixed values of the football warehouse: they decide results, so they are stated here as they are."""
+"""Fixed values of the football warehouse: they decide results, so they are stated as they are declared, in that order."""
 
 import datetime as dt
 
@@ -13,62 +13,104 @@ DEFAULT_BIRTH_DATE = dt.date(1995, 1, 1)
 
 COUNTRY_NAME_BY_ID = {
     2030: "Bosnia-Herzegovina",
+    2192: "Ireland",
     2083: "North Macedonia",
     2123: "South Korea",
-    2192: "Ireland",
 }
 
 CONTINENT_NAMES = {"N/C America": "North America"}
 
 BIRTH_DATE_BY_PLAYER = {
-    160790: dt.date(2004, 4, 6),
-    170381: dt.date(1993, 2, 19),
     191106: dt.date(2005, 1, 4),
     191127: dt.date(1998, 5, 12),
-    191811: DEFAULT_BIRTH_DATE,
     263454: dt.date(2007, 5, 9),
+    170381: dt.date(1993, 2, 19),
+    160790: dt.date(2004, 4, 6),
+    191811: DEFAULT_BIRTH_DATE,
 }
 
 NATIONALITY_BY_PLAYER = {192652: "Brazil"}
 
 NATIONALITY_NAMES = {
+    "UA Emirates": "United Arab Emirates",
     "DR Congo": "Congo DR",
     "Ivory Coast": "Côte d’Ivoire",
     "São Tomé and Príncipe": "São Tomé e Príncipe",
-    "UA Emirates": "United Arab Emirates",
     "USA": "United States",
 }
 
 NATIONALITY_BY_REFEREE = {80747: "Spain", 167782: "Israel", 176741: "Portugal"}
 
 FOUNDATION_BY_TEAM = {
+    "Sheffield United FC": dt.date(1889, 1, 1),
     "AVS": dt.date(2023, 1, 1),
     "CF Estrela da Amadora": dt.date(2020, 1, 1),
-    "Sheffield United FC": dt.date(1889, 1, 1),
 }
 
 PLAYOFF_STAGE_ORDER = {"final": 10, "semi finals": 20, "quarter finals": 30, "last 16": 40, "playoffs": 50}
 
 MAIN_COMPETITION_IDS = [
-    "2000", "2001", "2002", "2003", "2013", "2014", "2015", "2016", "2017", "2018", "2019", "2021",
-]
+    "2013",
+    "2016",
+    "2021",
+    "2001",
+    "2018",
+    "2015",
+    "2002",
+    "2019",
+    "2003",
+    "2017",
+    "2014",
+    "2000",
+]
 
 POSITIONS = [
-    "Attacking Midfield", "Central Midfield", "Centre-Back", "Centre-Forward", "Defence",
-    "Defensive Midfield", "Goalkeeper", "Left Midfield", "Left Winger", "Left-Back", "Midfield",
-    "Offence", "Right Midfield", "Right Winger", "Right-Back",
-]
+    "Centre-Forward",
+    "Midfield",
+    "Left Midfield",
+    "Defence",
+    "Left-Back",
+    "Attacking Midfield",
+    "Goalkeeper",
+    "Centre-Back",
+    "Right Midfield",
+    "Right Winger",
+    "Offence",
+    "Central Midfield",
+    "Left Winger",
+    "Right-Back",
+    "Defensive Midfield",
+]
 
 COMPETITION_NAMES = [
-    "Bundesliga", "Campeonato Brasileiro Série A", "Championship", "Copa Libertadores", "Eredivisie",
-    "European Championship", "FIFA World Cup", "Ligue 1", "Premier League", "Primeira Liga",
-    "Primera Division", "Serie A", "UEFA Champions League",
-]
+    "UEFA Champions League",
+    "Bundesliga",
+    "Championship",
+    "Campeonato Brasileiro Série A",
+    "Premier League",
+    "Ligue 1",
+    "Serie A",
+    "Eredivisie",
+    "Copa Libertadores",
+    "FIFA World Cup",
+    "Primeira Liga",
+    "European Championship",
+    "Primera Division",
+]
 
 MATCH_STAGES = [
-    "final", "group stage", "last 16", "league stage", "playoffs", "quarter finals", "regular season",
-    "round 1", "round 2", "round 3", "semi finals",
-]
+    "regular season",
+    "round 1",
+    "group stage",
+    "round 2",
+    "round 3",
+    "quarter finals",
+    "semi finals",
+    "last 16",
+    "playoffs",
+    "final",
+    "league stage",
+]
 
 KNOCKOUT_STAGES = list(PLAYOFF_STAGE_ORDER)
 
