@@ -34,7 +34,7 @@ def found(df):
 
 
 def edited(text, share, seed):
-    words, random_ = text.split(), random.Random(seed)
+    words, random_ = text.split(), random.Random(str(seed))
     return " ".join(prose((seed, k), 1) if random_.random() < share else w for k, w in enumerate(words))
 
 
