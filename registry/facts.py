@@ -76,11 +76,7 @@ def match_facts(spark: SparkSession, folder: str) -> DataFrame:
     return facts.select(*contracts.MATCH_FACTS)
 
 
-MATCH_FACTS = with_sql(
-    d.SQL_MATCHES,
-    d.SQL_SIDES,
-    d.SQL_TEAMS,
-    d.SQL_COMPETITIONS,
+MATCH_FACTS_PARTS = [
     """scored AS (
          SELECT *, competition_id = '2001' AND stage <> 'league stage' AS knockout,
                 CASE WHEN status = 'finished' THEN
@@ -102,6 +98,13 @@ MATCH_FACTS = with_sql(
        LEFT JOIN teams AS t ON t.team_id = s.team_id
        LEFT JOIN teams AS o ON o.team_id = s.opponent_id
        LEFT JOIN competitions AS c ON c.competition_id = s.competition_id""",
+]
+MATCH_FACTS = with_sql(
+    d.SQL_MATCHES,
+    d.SQL_SIDES,
+    d.SQL_TEAMS,
+    d.SQL_COMPETITIONS,
+    *MATCH_FACTS_PARTS,
 )
 
 
@@ -142,17 +145,20 @@ _STANDINGS_SELECT = """
          {h}.losses + {a}.losses AS number_of_losses
 """
 
-STANDINGS_CURRENT = with_sql(
-    d.SQL_MATCHES,
-    d.SQL_SIDES,
-    d.SQL_TEAMS,
-    d.SQL_COMPETITIONS,
+STANDINGS_PARTS = [
     _VENUES,
     _STANDINGS_SELECT.format(h="home", a="away")
     + """FROM (FROM venues WHERE venue = 'home') AS home
          LEFT JOIN (FROM venues WHERE venue = 'away') AS away USING (team_id, competition_id)
          LEFT JOIN teams USING (team_id)
          LEFT JOIN competitions USING (competition_id)""",
+]
+STANDINGS_CURRENT = with_sql(
+    d.SQL_MATCHES,
+    d.SQL_SIDES,
+    d.SQL_TEAMS,
+    d.SQL_COMPETITIONS,
+    *STANDINGS_PARTS,
 )
 
 
@@ -552,10 +558,7 @@ def playoff_matches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-PLAYOFF_MATCHES = with_sql(
-    d.SQL_MATCHES,
-    d.SQL_TEAMS,
-    d.SQL_COMPETITIONS,
+PLAYOFF_PARTS = [
     """SELECT m.* EXCLUDE (stage), stage AS match_stage, competition_name, h.team_name AS home_team_name,
               h.logo_url AS home_team_logo_url, a.team_name AS away_team_name, a.logo_url AS away_team_logo_url,
               CAST(list_position(['final', 'semi finals', 'quarter finals', 'last 16', 'playoffs'], stage) * 10
@@ -565,6 +568,12 @@ PLAYOFF_MATCHES = with_sql(
        LEFT JOIN teams AS a ON a.team_id = m.away_team_id
        LEFT JOIN competitions USING (competition_id)
        WHERE m.competition_id = '2001' AND stage <> 'league stage'""",
+]
+PLAYOFF_MATCHES = with_sql(
+    d.SQL_MATCHES,
+    d.SQL_TEAMS,
+    d.SQL_COMPETITIONS,
+    *PLAYOFF_PARTS,
 )
 
 

@@ -61,18 +61,35 @@ def built_weekly(spark: SparkSession, folder: str) -> DataFrame:
     return build(spark, folder, "standings_weekly")["standings_weekly"]
 
 
-BUILT_WEEKLY = with_sql(
-    *_TABLES,
-    f"""seasons AS (
+SEASONS = f"""seasons AS (
           SELECT season_id, competition_name || CASE WHEN competition_id = '2013' THEN ' 2001' ELSE ' 2001 - 2002' END
                    AS season_name
-          FROM ({staged.STAGE_SEASONS}) AS staged LEFT JOIN competitions USING (competition_id))""",
-    *facts._HISTORY[-2:],
-    *facts.WEEKLY_PARTS,
-)
+          FROM ({staged.STAGE_SEASONS}) AS staged LEFT JOIN competitions USING (competition_id))"""
+
+BUILT_WEEKLY = with_sql(*_TABLES, SEASONS, *facts._HISTORY[-2:], *facts.WEEKLY_PARTS)
+
+
+def built(name: str):
+    """A mart as the whole run makes it, from the raw tables."""
+    return lambda spark, folder: build(spark, folder, name)[name]
+
+
+def built_playoffs(spark: SparkSession, folder: str) -> DataFrame:
+    """The knockout listing, its list as text as in the staged SQL."""
+    return staged.as_text(built("playoff_matches")(spark, folder))
+
+
+BUILT_VERSIONS = with_sql(*_TABLES, SEASONS, *facts._HISTORY[-2:], "FROM history")
+BUILT_MATCH_FACTS = with_sql(*_TABLES, *facts.MATCH_FACTS_PARTS)
+BUILT_STANDINGS = with_sql(*_TABLES, *facts.STANDINGS_PARTS)
+BUILT_PLAYOFFS = with_sql(*_TABLES, *facts.PLAYOFF_PARTS)
 
 
 ENTRIES = {
     "warehouse_streaks": Entry(built_streaks, BUILT_STREAKS),
     "warehouse_weekly": Entry(built_weekly, BUILT_WEEKLY),
+    "warehouse_versions": Entry(built("standings_versions"), BUILT_VERSIONS),
+    "warehouse_match_facts": Entry(built("matches_per_team"), BUILT_MATCH_FACTS),
+    "warehouse_standings": Entry(built("standings_current"), BUILT_STANDINGS),
+    "warehouse_playoffs": Entry(built_playoffs, BUILT_PLAYOFFS),
 }
