@@ -31,7 +31,8 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked in the texts; every document stays, and ``n_chars`` counts the new text."""
-    return redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+    masked = redacted(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
