@@ -171,8 +171,26 @@ def known_contexts(rows: DataFrame, docs: DataFrame, text: str, settings: Settin
     return unseen.select("before", "value")
 
 
+FILTER_BITS = 1 << 20
+
+
+def _bit_filter(contexts: DataFrame) -> list[int]:
+    """A set of ``FILTER_BITS`` bits in which those of the contexts' hashes are set: 16,384 longs, whatever the corpus."""
+    bit = F.pmod(F.xxhash64("before"), F.lit(FILTER_BITS))
+    words = contexts.select(F.floor(bit / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("one"))
+    out = [0] * (FILTER_BITS // 64)
+    for row in words.groupBy("word").agg(F.bit_or("one").alias("bits")).collect():
+        out[row["word"]] = row["bits"]
+    return out
+
+
 def _followers(docs: DataFrame, text: str, frequent: DataFrame) -> DataFrame:
-    """How often each context is followed by any word at all."""
+    """How often each context is followed by any word at all.
+
+    Word pairs that are no context are dropped where they are made, by the bits of their hash, and
+    the others are counted before they are joined: what is shuffled is a count for each context and
+    task, not the pairs. Pairs that share a context's bits by chance fall out in the join.
+    """
     word = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), rf"[{_BLANK}]+")
     pairs = docs.select(word.alias("w")).select(
         F.explode(
@@ -182,7 +200,11 @@ def _followers(docs: DataFrame, text: str, frequent: DataFrame) -> DataFrame:
             )
         ).alias("before")
     )
-    return pairs.join(frequent.select("before"), "before", "left_semi").groupBy("before").agg(F.count(F.lit(1)).alias("all"))
+    bit = F.pmod(F.xxhash64("before"), F.lit(FILTER_BITS))
+    held = F.get(F.lit(_bit_filter(frequent)), F.floor(bit / 64).cast("int"))
+    set_ = F.call_function("shiftrightunsigned", held, (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+    counted = pairs.filter(set_).groupBy("before").agg(F.count(F.lit(1)).alias("all"))
+    return counted.join(frequent.select("before"), "before", "left_semi")
 
 
 def _named(kind: str):
