@@ -72,16 +72,18 @@ def placed(gaps: Column, matches: Column) -> Column:
     The places are running sums over the lengths of gaps and matches. They are summed in runs,
     first the runs, then within each, so that a text with a million matches stays feasible.
     """
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size(matches) - 1),
-        lambda i: F.struct(
-            F.get(gaps, i).alias("gap"),
-            F.get(matches, i).alias("value"),
-            n_chars(F.get(gaps, i)).alias("skip"),
-            n_chars(F.get(matches, i)).alias("size"),
-        ),
-    )
-    return F.when(F.size(matches) > 0, _summed(pairs)).otherwise(F.expr(f"array() :: array<{_PLACED}>"))
+    nothing = F.expr(f"array() :: array<{_PLACED}>")
+
+    def paired(found: Column) -> Column:
+        pairs = F.zip_with(
+            F.slice(found["gaps"], F.lit(1), F.size(found["matches"])),
+            found["matches"],
+            lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"), n_chars(gap).alias("skip"), n_chars(value).alias("size")),
+        )
+        return F.when(F.size(found["matches"]) > 0, bound(pairs, _summed)).otherwise(nothing)
+
+    # each step is bound to a name: an expression used inside a lambda is computed for each element
+    return bound(F.struct(gaps.alias("gaps"), matches.alias("matches")), paired)
 
 
 _PLACED = "struct<start: bigint, stop: bigint, value: string, gap: string>"
@@ -114,15 +116,17 @@ def _summed(pairs: Column) -> Column:
     def total(rows):
         return F.aggregate(rows, F.lit(0).cast("long"), lambda a, row: a + row["skip"] + row["size"])
 
+    def in_runs(totals: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                totals,
+                lambda _, i: run(
+                    run_of(pairs, i),
+                    F.aggregate(F.slice(totals, F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x),
+                ),
+            )
+        )
+
     last = F.floor((F.size(pairs) - 1) / _RUN).cast("int")
     totals = F.transform(F.sequence(F.lit(0), last), lambda i: total(run_of(pairs, i)))
-    long = F.flatten(
-        F.transform(
-            totals,
-            lambda _, i: run(
-                run_of(pairs, i),
-                F.aggregate(F.slice(totals, F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x),
-            ),
-        )
-    )
-    return F.when(F.size(pairs) <= _RUN, run(pairs, F.lit(0).cast("long"))).otherwise(long)
+    return F.when(F.size(pairs) <= _RUN, run(pairs, F.lit(0).cast("long"))).otherwise(bound(totals, in_runs))
