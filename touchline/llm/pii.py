@@ -204,7 +204,8 @@ def _followers(docs: DataFrame, text: str, frequent: DataFrame) -> DataFrame:
     held = F.get(F.lit(_bit_filter(frequent)), F.floor(bit / 64).cast("int"))
     set_ = F.call_function("shiftrightunsigned", held, (bit % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
     counted = pairs.filter(set_).groupBy("before").agg(F.count(F.lit(1)).alias("all"))
-    return counted.join(frequent.select("before"), "before", "left_semi")
+    # an inner join, since a semi join would be pushed below the counting
+    return counted.join(frequent.select("before"), "before")
 
 
 def _named(kind: str):
