@@ -35,6 +35,35 @@ def test_pieces_encode_like_whole_texts(name):
     assert Encoder.of(path_of(name)).encode(pa.array(["x", "a b", None]).slice(1))[1].tolist()[-1] == len(plain(name, ["a b"])[0])
 
 
+def as_called(name, texts):
+    """The library's plain call: strings of special tokens are those tokens."""
+    tokenizer = Tokenizer.from_file(path_of(name))
+    return [list(tokenizer.encode(text or "", add_special_tokens=False).ids) for text in texts]
+
+
+SPECIAL = ["<|endoftext|>", "<|startoftext|>"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_special_strings_encode_like_the_plain_call(name):
+    random.seed(8)
+    some = [*LETTERS, *SPECIAL * 4]
+    texts = ["".join(random.choice(some) for _ in range(random.randrange(30))) for _ in range(3000)]
+    texts += [None, "", SPECIAL[0], "a" + SPECIAL[0] + "b", f"A. {SPECIAL[0]}\nB, {SPECIAL[0]} \n {SPECIAL[0]}.", prose(1, 500)]
+    for part in (texts, texts[5:], texts[::-1]):
+        ids, places = Encoder.of(path_of(name), special=True).encode(pa.array(part))
+        assert [ids[a:b].tolist() for a, b in zip(places[:-1], places[1:], strict=True)] == as_called(name, part)
+
+
+def test_special_strings_in_store_and_packing(docs):
+    data = [(1, "one two<|endoftext|>three"), (2, "x <|endoftext|> y"), (3, "plain")]
+    texts = [text for _, text in data]
+    stored = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_store.index_of(token_store.stored(docs(data))).collect()}
+    assert stored == {i: (len(own) + 1, zlib.crc32(with_end(own).tobytes())) for (i, _), own in zip(data, as_called(NAMES[0], texts), strict=True)}
+    packed = {r.doc_id: list(r.ids) for r in packing.pack(docs(data), with_ids=True).collect()}
+    assert packed == {i: [*own, 0] for (i, _), own in zip(data, as_called(NAMES[1], texts), strict=True)}
+
+
 def with_end(ids):
     return np.array([*ids, 0], dtype="<u4")
 

@@ -4,10 +4,14 @@ The tokenizers in use never make a token across certain places: before a white s
 visible character, after a lone line break, and between a letter and a full stop or comma. A
 text cut there gives the same ids as the whole text. The cuts are found in the UTF-8 bytes of a whole batch,
 equal pieces are found by Arrow, and the tokenizers library only sees pieces not seen before.
+
+The strings of special tokens, such as ``<|endoftext|>``, become those tokens' ids where a text holds
+them, as in the library's plain call with ``add_special_tokens=False``; that is ``special=True``.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -67,19 +71,24 @@ def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes Arrow string arrays; one per worker process and file."""
+    """Encodes Arrow string arrays; one per worker process, file and reading of special tokens.
+
+    With ``special`` their strings in a text are those tokens, without it ordinary text.
+    """
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[tuple[str, bool], Encoder] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def of(cls, path: str, special: bool = False) -> Encoder:
+        if (path, special) not in cls._made:
+            cls._made[path, special] = cls(path, special)
+        return cls._made[path, special]
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = not special
+        strings = [token.content.encode() for token in self._tokenizer.get_added_tokens_decoder().values()] if special else []
+        self._special = re.compile(b"|".join(map(re.escape, sorted(strings, key=len, reverse=True)))) if strings else None
         self._known: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
@@ -91,6 +100,16 @@ class Encoder:
             for piece, done in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self._known[piece] = array("I", done.ids).tobytes()
 
+    def _whole(self, data: np.ndarray, starts: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The cuts without those in or next to a special token's string; texts still begin at ``starts``."""
+        found = [match.span() for match in self._special.finditer(np.ascontiguousarray(data))] if self._special and len(data) else []
+        if not found:
+            return begins
+        firsts, lasts = np.array(found).T
+        at = np.searchsorted(firsts, begins, side="right") - 1  # the last string that begins there or before
+        near = (at >= 0) & (begins <= lasts[at] + 1)
+        return np.union1d(begins[~near], starts)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as ``uint32``, and where each text's begin: one more place than there are texts."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -101,7 +120,7 @@ class Encoder:
         data = np.frombuffer(buffer, dtype=np.uint8)[places[0] : places[-1]] if buffer is not None and len(texts) else np.zeros(0, np.uint8)
         places = places - places[0] if len(texts) else np.zeros(1, np.int64)
         filled = places[:-1][places[1:] > places[:-1]]
-        begins = cuts(data, filled)
+        begins = self._whole(data, filled, cuts(data, filled))
         if not len(begins):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         bounds = np.append(begins, len(data))

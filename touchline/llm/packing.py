@@ -94,7 +94,7 @@ def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool):
     """Encodes, cuts and packs batches of ``doc_id, text``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, schema = Encoder.of(path), _arrow_schema(with_ids)
+        encoder, schema = Encoder.of(path, special=True), _arrow_schema(with_ids)
         waiting: list[tuple[int, list[dict]]] = []
         for batch in slices(batches):
             ids, places = encoder.encode(batch.column(1))

@@ -32,7 +32,7 @@ SEGMENT = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>,
 
 def encoder_of(path: str, segment_ids: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder.of(path), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(path, special=True), TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         numbers: list = []
         lengths: list[int] = []
