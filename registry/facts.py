@@ -333,17 +333,21 @@ def weekly_rankings(spark: SparkSession, folder: str) -> DataFrame:
     return weekly.orderBy(F.col("week_start_date").desc())
 
 
-WEEKLY_PARTS = [
-    """closed AS (
-         SELECT * REPLACE (coalesce(version_end_at, version_start_at + INTERVAL 7 DAYS) AS version_end_at)
-         FROM history)""",
-    f"""SELECT week AS week_start_date, closed.* EXCLUDE (team_logo_url),
-               row_number() OVER (PARTITION BY week, competition_id ORDER BY {_TABLE_ORDER}) AS ranking
-        FROM (SELECT unnest(generate_series(date_trunc('week', min(version_start_at)),
-                date_trunc('week', max(version_end_at)), INTERVAL 7 DAYS)) AS week FROM closed) AS weeks
-        LEFT JOIN closed ON week >= version_start_at AND week < version_end_at""",
-]
-WEEKLY_RANKINGS = with_sql(*_HISTORY, *WEEKLY_PARTS)
+
+def weekly_parts(first: str = "min(version_start_at)", last: str = "max(version_end_at)") -> list[str]:
+    """The tables at the start of all weeks from that of ``first`` to that of ``last``."""
+    return [
+        """closed AS (
+             SELECT * REPLACE (coalesce(version_end_at, version_start_at + INTERVAL 7 DAYS) AS version_end_at)
+             FROM history)""",
+        f"""SELECT week AS week_start_date, closed.* EXCLUDE (team_logo_url),
+                   row_number() OVER (PARTITION BY week, competition_id ORDER BY {_TABLE_ORDER}) AS ranking
+            FROM (SELECT unnest(generate_series(date_trunc('week', {first}),
+                    date_trunc('week', {last}), INTERVAL 7 DAYS)) AS week FROM closed) AS weeks
+            LEFT JOIN closed ON week >= version_start_at AND week < version_end_at""",
+    ]
+
+WEEKLY_RANKINGS = with_sql(*_HISTORY, *weekly_parts())
 
 
 def week_end_rankings(spark: SparkSession, folder: str) -> DataFrame:

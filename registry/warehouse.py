@@ -66,7 +66,15 @@ SEASONS = f"""seasons AS (
                    AS season_name
           FROM ({staged.STAGE_SEASONS}) AS staged LEFT JOIN competitions USING (competition_id))"""
 
-BUILT_WEEKLY = with_sql(*_TABLES, SEASONS, *facts._HISTORY[-2:], *facts.WEEKLY_PARTS)
+# all weeks of the calendar as well
+BUILT_WEEKLY = with_sql(
+    *_TABLES,
+    SEASONS,
+    *facts._HISTORY[-2:],
+    *facts.weekly_parts(
+        "least(min(version_start_at), TIMESTAMP '2000-01-01')", "greatest(max(version_end_at), TIMESTAMP '2049-12-31')"
+    ),
+)
 
 
 def built(name: str):

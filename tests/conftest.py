@@ -15,8 +15,3 @@ def spark():
 @pytest.fixture(scope="session")
 def folder():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-
-def rows(df, *order):
-    """Rows as tuples in the frame's column order, sorted for comparing."""
-    return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple((x is None, str(x)) for x in row))

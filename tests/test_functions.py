@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from touchline import functions as fn
 from touchline.functions.text import _accent_table
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from touchline.operators import dims, sides, standings, streaks, versions
 from touchline.operators.batches import nested_ids
 from touchline.operators.calendar import calendar, periods
@@ -252,7 +252,7 @@ def test_streaks(spark, limits):
     results = ["win", "win", None, None, "loss", "draw", "draw", "draw"]
     data = [("u", hours(i), f"{20 - i}", r) for i, r in enumerate(results)]
     df = spark.createDataFrame(data, RESULTS)
-    found = streaks.streaks(df, ["k"], "at", "r", "id", **limits).orderBy("streak_number").collect()
+    found = streaks.streaks(df, ["k"], "at", "r", "id", lists=True, **limits).orderBy("streak_number").collect()
     assert [(s.streak_number, s.streak_type, s.members) for s in found] == [
         (1, "win", ["20", "19"]),
         (2, None, ["18"]),
@@ -264,6 +264,9 @@ def test_streaks(spark, limits):
     assert found[0].end_at == hours(1) + dt.timedelta(hours=2) and found[4].end_at is None
     by_time = streaks.streaks(df, ["k"], "at", "r", "id", endpoints="time", **limits).orderBy("streak_number").first()
     assert (by_time.first_member, by_time.last_member) == ("20", "19")
+    plain = streaks.streaks(df, ["k"], "at", "r", "id", **limits)
+    assert "members" not in plain.columns
+    assert [r.number_of_members for r in plain.orderBy("streak_number").collect()] == [2, 1, 1, 1, 3]
 
 
 def test_two_matches_at_one_time(spark):

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from touchline.operators.batches import batches
 from touchline.operators.ordered import (
     following,

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from touchline.operators import quality as q
 from touchline.operators.ordered import previous
 from touchline.plans.checks import extra_checks

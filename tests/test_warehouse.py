@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import football
-from conftest import rows
+from helpers import rows
 from touchline.operators.contract import ContractBroken, contract_breaks, contract_report, enforce_contract
 from touchline.plans import checks, warehouse
 from touchline.sources import landing, schemas

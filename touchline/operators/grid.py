@@ -29,6 +29,14 @@ class DayGrid:
     def size(self) -> int:
         return max(0, (self.last - self.first).days // self.step_days + 1)
 
+    def covering(self, other: DayGrid) -> DayGrid:
+        """The points of both grids, whose steps meet, and any between them."""
+        if not self.size or not other.size:
+            return self if self.size else other
+        if self.step_days != other.step_days or (self.first - other.first).days % self.step_days:
+            raise ValueError("the grids have no common points")
+        return DayGrid(min(self.first, other.first), max(self.last, other.last), self.step_days)
+
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
         return numbers(spark, self.size).select(self._point(F.col("id").cast("int")).alias(name))
 

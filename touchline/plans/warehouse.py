@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators import dims
-from touchline.operators.calendar import calendar
+from touchline.operators.calendar import END_DAY, FIRST_DAY, calendar
 from touchline.operators.contract import enforce_contract
+from touchline.operators.grid import weeks, weeks_of
 from touchline.operators.sides import match_facts, per_side
 from touchline.operators.standings import standings, with_placement
 from touchline.operators.streaks import team_streaks
-from touchline.operators.versions import standings_versions, weekly_standings
+from touchline.operators.versions import standings_versions, weekly_standings, with_open_end
 from touchline.plans import contracts, staging
 from touchline.plans import values as v
 
@@ -34,8 +35,11 @@ def no_points() -> Column:
 
 
 def _weekly(history: DataFrame) -> DataFrame:
+    """All weeks of the calendar, those without any table too, and all weeks of the history."""
+    of_history = weeks_of(with_open_end(history), "version_start_at", "version_end_at")
+    grid = weeks(FIRST_DAY, END_DAY).covering(of_history)
     # not sorted: a table has no order, and sorting it would cost a further shuffle
-    return weekly_standings(history).select(*contracts.WEEKLY)
+    return weekly_standings(history, grid).select(*contracts.WEEKLY)
 
 
 def _playoffs(matches: DataFrame, teams: DataFrame, competitions: DataFrame) -> DataFrame:
