@@ -18,7 +18,7 @@ def connection(folder):
 
 def test_every_operator_is_registered_once():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry_points.queries())
     assert set(queries.ORACLE_SQL) <= set(entry_points.oracle_sql())
 

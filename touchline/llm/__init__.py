@@ -14,5 +14,8 @@ them to the supplied tables. Nothing else in the library imports this package.
 ``mixing``         time-varying mixture of sources
 ``secrets_scan``   keyword automaton, anchored patterns, checksums
 ``pii``            bootstrapped contextual extraction of personal data
+``collocations``   phrases scored by marginal counts of their longest windows
+``whitening``      embeddings whitened by spectral divide and conquer
+``decontaminate``  benchmark windows found by their rarest shingle
 =================  ==============================================================
 """

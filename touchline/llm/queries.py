@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from touchline.llm import pii, secrets_scan
 from touchline.llm.chunk_dedup import repeats
+from touchline.llm.collocations import collocations
+from touchline.llm.decontaminate import contamination
 from touchline.llm.fixity import archive, audited, manifest
 from touchline.llm.mixing import mixture
 from touchline.llm.ngram_join import ngram_join
@@ -20,6 +22,7 @@ from touchline.llm.packing import pack
 from touchline.llm.quality_rules import quality
 from touchline.llm.token_store import index_of, stored
 from touchline.llm.vector_dedup import vector_links
+from touchline.llm.whitening import whitened
 from touchline.llm.words import read, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +92,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *of_kind, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
+    return whitened(read(spark, sf_dir, "embeddings"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_store": op2_token_store,
@@ -100,6 +118,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 # every pair with a shared n-gram is compared; a text of fewer than five words is one n-gram
@@ -150,8 +171,68 @@ SELECT page_id,
   strlen(record) AS length, sha256(record) AS sha256, NOT starts_with(sha256(record), '00') AS intact
 FROM r"""
 
+# phrases of each length counted apart
+COLLOCATIONS_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, g AS words, len(g) AS k, array_to_string(g, ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w[i : i + k - 1] AS g FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k))
+  GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT * FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, cut, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[: cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[cut + 1 :], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, f FROM (
+    SELECT lang, words, f, size, unnest(range(1, k - size + 2)) AS i
+    FROM (SELECT *, unnest(range(2, k)) AS size FROM c))),
+holders AS (SELECT lang, phrase, max(f) AS holder FROM inner_ GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM lowest LEFT JOIN holders USING (lang, phrase) JOIN totals USING (lang)
+WHERE NOT coalesce(CAST(100 AS HUGEINT) * holder >= CAST(80 AS HUGEINT) * a, false)
+QUALIFY rank <= 2000"""
+
+# every window of an item looked up at every place of every document
+DECONTAMINATE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, sizes WHERE len(w) >= size),
+occ AS (
+  SELECT r, k, win.size, win.item_id FROM places
+  JOIN win ON win.size = places.size AND win.win = array_to_string(w[k : k + places.size - 1], ' ')),
+hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS place FROM occ) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS sha
+  FROM (SELECT DISTINCT r, item_id FROM occ) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(sha, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_ngram_join": NGRAM_JOIN_SQL,
     "op6_vector_dedup": VECTOR_DEDUP_SQL,
     "op7_warc_fixity": WARC_FIXITY_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op13_decontaminate": DECONTAMINATE_SQL,
 }

@@ -22,9 +22,12 @@ _RUN = 512
 def shipped(spark: SparkSession) -> None:
     """Give the workers this package where they would not find it by themselves."""
     root = Path(__file__).resolve().parents[2]
-    reachable = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     context = spark.sparkContext
-    if any(os.path.realpath(path or ".") == str(root) for path in reachable) or any("touchline-" in x for x in context.listFiles):
+    reachable = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    found = any(os.path.realpath(path or ".") == str(root) for path in reachable)
+    # what the driver finds in its own folders says nothing about executors elsewhere
+    local = context.master == "local" or context.master.startswith("local[")
+    if (local and found) or any("touchline-" in x for x in context.listFiles):
         return
     handle, archive = tempfile.mkstemp(prefix="touchline-", suffix=".zip")
     with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w") as packed:
@@ -47,6 +50,45 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower_ascii(text: Column) -> Column:
+    """A to Z as a to z and nothing else changed. Only a text with capitals beyond ASCII goes character by character."""
+    others = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^A-Z]]"
+    return F.when(text.rlike(others), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+
+
+SET_BITS = 1 << 20
+"""Bits in a set of hashes: 16,384 longs, whatever the corpus."""
+
+
+def _places(key: Column) -> tuple[Column, Column]:
+    return F.pmod(key, F.lit(SET_BITS)), F.pmod(F.call_function("shiftright", key, F.lit(32)), F.lit(SET_BITS))
+
+
+def bit_set(keys: DataFrame, key: str) -> Column:
+    """The hashes in ``key`` as a set of ``SET_BITS`` bits, two for each; see :func:`marked`."""
+    bits = keys.select(F.explode(F.array(*_places(F.col(key)))).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
+    longs = ["0"] * (SET_BITS // 64)
+    # at most SET_BITS / 64 rows
+    for row in bits.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits")).collect():
+        longs[row["word"]] = str(row["bits"])
+    return F.split(F.lit(",".join(longs)), ",").cast("array<bigint>")
+
+
+def marked(bits: Column, key: Column) -> Column:
+    """Whether a hash may be in the set: always true for its members, and for few others while those are few."""
+
+    def has(place: Column) -> Column:
+        held = F.get(bits, F.call_function("shiftright", place, F.lit(6)).cast("int"))
+        return F.call_function("shiftrightunsigned", held, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    first, second = _places(key)
+    return has(first) & has(second)
+
+
 def bound(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
