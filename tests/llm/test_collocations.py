@@ -71,9 +71,7 @@ def test_best_only_and_other_lengths(spark):
 
 
 def test_a_set_that_lets_all_pairs_pass(spark, monkeypatch):
-    from touchline.llm import words
-
-    monkeypatch.setattr(words, "SET_BITS", 64)
+    monkeypatch.setattr(collocations, "MOST_BITS", 64)
     data = corpus(6)
     assert found(spark, data, least=4) == plain(data, 4)
 

@@ -10,7 +10,7 @@
 
 A phrase that occurs ``least`` times has only neighbouring pairs that do so too. So before the windows are
 counted, they are padded from the first pair on that is rarer, which turns almost all of them into a few
-short ones. These pairs are one count of hashes; what the windows are cut by is a set of bits of fixed size,
+short ones. These pairs are one count of hashes; what the windows are cut by is a set of bits of bounded size,
 which may let a rare pair pass and never stops a frequent one. The counts of frequent phrases are the same
 with and without the cut, at any size of the corpus.
 
@@ -28,11 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.llm.words import bit_set, lower_ascii, marked, written
+from touchline.llm.words import lower_ascii, marked, sized_bit_set, written
 
 LEAST = 30
 LONGEST = 4
 BEST = 2_000
+MOST_BITS = 1 << 27
+"""Bits in the set of frequent pairs at most: 16 MB."""
 
 _BREAKS = r"[.,;:!?\x0A-\x0D]"
 _BLANKS = r"[\x20\x09]+"
@@ -77,15 +79,18 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     rows = windows(docs, text, lang, longest)
     pairs = windows(docs, text, lang, 2).filter("w2 IS NOT NULL").groupBy(_pair("w1", "w2").alias("pair")).agg(F.count(F.lit(1)).alias("n"))
     frequent = written(pairs.filter(F.col("n") >= least).select("pair"), "pairs")
-    bits = bit_set(frequent, "pair")
-    cut = _padded(rows, names, [marked(bits, _pair(a, b)) & F.col(b).isNotNull() for a, b in zip(names, names[1:], strict=False)])
+    bits, size = sized_bit_set(frequent, "pair", MOST_BITS)
+    cut = _padded(rows, names, [marked(bits, _pair(a, b), size) & F.col(b).isNotNull() for a, b in zip(names, names[1:], strict=False)])
     counted = written(cut.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("n")), "windows")
-    summed = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    # a full window is counted as it stands, all that is shorter is summed
+    *prefix, last = names
+    full = counted.filter(F.col(last).isNotNull() & (F.col("n") >= least)).select("lang", F.array(*names).alias("words"), F.lit(longest).alias("n_words"), F.col("n").alias("f"))
+    summed = counted.rollup("lang", *prefix).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # grouping_id sets a bit for each column summed over, the last ones first; padding is no phrase of that length
-    phrases = summed.filter(F.col("level") < (1 << longest)).withColumn("n_words", F.lit(longest) - F.bit_count("level"))
-    words = F.slice(F.array(*names), F.lit(1), F.col("n_words"))
-    whole = (F.col("n_words") == 0) | ((F.col("f") >= least) & F.get(F.array(*names), F.col("n_words") - 1).isNotNull())
-    return phrases.filter(whole).select("lang", words.alias("words"), F.col("n_words").cast("int").alias("n_words"), "f")
+    phrases = summed.filter(F.col("level") < (1 << len(prefix))).withColumn("n_words", (F.lit(len(prefix)) - F.bit_count("level")).cast("int"))
+    words = F.slice(F.array(*prefix), F.lit(1), F.col("n_words"))
+    whole = (F.col("n_words") == 0) | ((F.col("f") >= least) & F.get(F.array(*prefix), F.col("n_words") - 1).isNotNull())
+    return full.unionByName(phrases.filter(whole).select("lang", words.alias("words"), "n_words", "f"))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, best: int = BEST) -> DataFrame:

@@ -63,29 +63,47 @@ SET_BITS = 1 << 20
 """Bits in a set of hashes: 16,384 longs, whatever the corpus."""
 
 
-def _places(key: Column) -> tuple[Column, Column]:
-    return F.pmod(key, F.lit(SET_BITS)), F.pmod(F.call_function("shiftright", key, F.lit(32)), F.lit(SET_BITS))
+def _places(key: Column, size: int) -> tuple[Column, Column]:
+    return F.pmod(key, F.lit(size)), F.pmod(F.call_function("shiftright", key, F.lit(32)), F.lit(size))
+
+
+def _longs(keys: DataFrame, key: str, size: int) -> DataFrame:
+    """``word, bits``: the longs of a set of ``size`` bits that are not 0."""
+    bits = keys.select(F.explode(F.array(*_places(F.col(key), size))).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
+    return bits.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits"))
 
 
 def bit_set(keys: DataFrame, key: str) -> Column:
     """The hashes in ``key`` as a set of ``SET_BITS`` bits, two for each; see :func:`marked`."""
-    bits = keys.select(F.explode(F.array(*_places(F.col(key)))).alias("bit"))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
     longs = ["0"] * (SET_BITS // 64)
     # at most SET_BITS / 64 rows
-    for row in bits.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word")).agg(F.bit_or(one).alias("bits")).collect():
+    for row in _longs(keys, key, SET_BITS).collect():
         longs[row["word"]] = str(row["bits"])
     return F.split(F.lit(",".join(longs)), ",").cast("array<bigint>")
 
 
-def marked(bits: Column, key: Column) -> Column:
+def sized_bit_set(keys: DataFrame, key: str, most: int) -> tuple[Column, int]:
+    """A set with at least 16 bits for each hash, but never more than ``most`` in all, and its size.
+
+    It is a subquery of one row, so it cannot stand inside a lambda.
+    """
+    size = min(most, 1 << max(10, (16 * keys.count()).bit_length()))
+    every = keys.sparkSession.range(0, size // 64, 1, 1).select(F.col("id").cast("int").alias("word"))
+    whole = every.join(_longs(keys, key, size), "word", "left")
+    # one row of at most ``most`` / 64 longs
+    row = whole.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("all"))
+    return written(row.select(F.col("all.bits").alias("bits")), "bits").scalar(), size
+
+
+def marked(bits: Column, key: Column, size: int | None = None) -> Column:
     """Whether a hash may be in the set: always true for its members, and for few others while those are few."""
 
     def has(place: Column) -> Column:
         held = F.get(bits, F.call_function("shiftright", place, F.lit(6)).cast("int"))
         return F.call_function("shiftrightunsigned", held, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    first, second = _places(key)
+    first, second = _places(key, size or SET_BITS)
     return has(first) & has(second)
 
 
