@@ -83,3 +83,25 @@ def test_empty(docs):
     assert m.mixture(docs([])).count() == 0
     nothing = m.mixture(docs([(1, None), (2, "")])).collect()
     assert [(r.doc_id, r.taken) for r in nothing] == [(1, 0), (2, 0)]
+
+
+SHAPE = "doc_id long, text string, source string, extra map<string, int>, place long, times int, positions int"
+
+
+def test_training_order_of_awkward_rows(spark):
+    """NULLs, empty texts, repeated rows, rows alike in number or text only, and columns the operator names itself."""
+    data = [(i, t, s) for s in ("a", None) for i, t in AWKWARD] + [(9, "one two three", "a")] * 7 + [(None, None, None)] * 2
+    data += [(9, "one two three", "b"), (10, "one two three", "a"), (None, "one two three", "a")]
+    full = [(*row, {"k": n % 2}, 1, 2, 3) for n, row in enumerate(data)]
+    df = spark.createDataFrame(full, SHAPE)
+    used = m.training_order(df.repartition(5))
+    assert used.columns == df.columns
+    plain = lambda r: (r.doc_id, r.text, r.source, str(r.extra), r.place, r.times, r.positions)
+    want, rows = Counter(), df.collect()
+    mixed = m.mixed(df.withColumn("tag", m.F.struct("doc_id", "text", "source", "place")), carry=["tag", "extra"]).collect()
+    for r in mixed:
+        want[r.tag.doc_id, r.tag.text, r.tag.source, str(r.extra), 1, 2, 3] += r.times
+    assert Counter(map(plain, used.collect())) == +want
+    assert set(map(plain, rows)) >= set(want)
+    assert m.training_order(df.limit(0)).count() == 0
+    assert m.training_order(df.filter("text IS NULL")).count() == 0

@@ -144,10 +144,25 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
 
 def training_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", mix: Mixture = Mixture()) -> DataFrame:
-    """The documents in training order: each one as often as it is used, unused ones not at all."""
+    """The documents in training order: each one as often as it is used, unused ones not at all.
+
+    Positions are worked out on slim rows without texts. These meet the texts once, by two hashes of the
+    whole row, and are then sorted by range. Rows equal in all columns share their key, so one of them takes the
+    positions of all.
+    """
     names = docs.columns
     plain = docs.toDF(*[f"__d{i}" for i in range(len(names))])
     of = {name: f"__d{names.index(name)}" for name in (doc_id, text, source)}
-    used = mixed(plain, of[doc_id], of[text], of[source], mix, carry=plain.columns)
-    each = used.select(*plain.columns, F.explode("positions").alias("__position"))
-    return each.orderBy("__position", of[doc_id]).select(*[F.col(f"__d{i}").alias(name) for i, name in enumerate(names)])
+    kinds = dict(plain.dtypes)
+    # maps have no hash of their own
+    hashed = [F.array_sort(F.map_entries(name)) if kinds[name].startswith("map<") else F.col(name) for name in plain.columns]
+    keyed = plain.withColumns({"__a": F.xxhash64(*hashed), "__b": F.xxhash64(F.lit(8), *reversed(hashed))})
+    keys = ["__a", "__b"]
+    used = written(mixed(keyed, of[doc_id], of[text], of[source], mix, carry=keys).select(*keys, F.explode("positions").alias("__position")), "uses")
+    repeated = written(keyed.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys), "repeats")
+    if not repeated.isEmpty():
+        once = keyed.join(repeated, keys, "left_semi").dropDuplicates(keys)
+        keyed = keyed.join(repeated, keys, "left_anti").unionByName(once)
+    # uses grow with the corpus, so both sides are sorted at any size instead of being broadcast while they are few
+    each = keyed.join(used.hint("merge"), keys)
+    return each.orderBy("__position", of[doc_id], *keys).select(*[F.col(f"__d{i}").alias(name) for i, name in enumerate(names)])

@@ -4,10 +4,13 @@
    once: the longest piece first, each into the fullest sequence that still has room. Nearly full
    sequences are finished and written.
 2. The underfull ones are items of their own, as long as they are full. They are merged from many tasks into
-   fewer and packed again by best fit, and so on, until one task holds all that is left or a round
-   no longer joins anything.
+   fewer and packed again by best fit, and so on.
+3. Two sequences that are more than half full never fit together, and a run of best fit leaves at most one
+   that is not. So what can still be joined after a round are these few *small* sequences, with each other or each with
+   one of the emptiest others, of which as many are enough. They end in one task, and nothing
+   that is left then fits together.
 
-A task never holds more than ``TASK_ITEMS`` items; where there are more, it packs them in runs. A
+A task never holds more than ``task_items`` items; where there are more, it packs them in runs. A
 sequence carries its members along, at most one for each token, so no round needs a join.
 
 A NULL text is empty and has only the end id. A document shorter than the limit is never cut; repeated rows
@@ -90,7 +93,7 @@ def _arrow_schema(with_ids: bool) -> pa.Schema:
     return pa.schema([("filled", pa.int32()), ("done", pa.bool_()), ("members", pa.list_(pa.struct(member)))])
 
 
-def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool):
+def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool, task_items: int):
     """Encodes, cuts and packs batches of ``doc_id, text``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +115,7 @@ def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool):
                     else:
                         waiting.append((len(part), [member]))
             yield from _batch(full, schema)
-            if len(waiting) >= TASK_ITEMS:
+            if len(waiting) >= task_items:
                 yield from _batch(list(_bins(waiting, limit, nearly, False)), schema)
                 waiting = []
         yield from _batch(list(_bins(waiting, limit, nearly, False)), schema)
@@ -120,7 +123,7 @@ def packer_of_texts(path: str, limit: int, nearly: int, with_ids: bool):
     return pack
 
 
-def packer_of_bins(limit: int, nearly: int, last: bool, with_ids: bool):
+def packer_of_bins(limit: int, nearly: int, last: bool, with_ids: bool, task_items: int):
     """Packs underfull sequences as items."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +131,7 @@ def packer_of_bins(limit: int, nearly: int, last: bool, with_ids: bool):
         waiting: list[tuple[int, list[dict]]] = []
         for batch in batches:
             waiting += zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            if len(waiting) >= TASK_ITEMS:
+            if not last and len(waiting) >= task_items:
                 yield from _batch(list(_bins(waiting, limit, nearly, last)), schema)
                 waiting = []
         yield from _batch(list(_bins(waiting, limit, nearly, last)), schema)
@@ -150,22 +153,40 @@ def pack(
     path = tokenizer or path_of("word_bpe_49k.json")
     schema = _schema(with_ids)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rounds = [written(slim.mapInArrow(packer_of_texts(path, limit, nearly, with_ids), schema), "packed")]
+
+
+    def kept(packed: DataFrame) -> DataFrame:
+        """A round with a number for each sequence, written so that it stays what it is."""
+        return written(packed.select("filled", "done", "members").withColumn("bin", F.monotonically_increasing_id()), "packed")
+
+    rounds = [kept(slim.mapInArrow(packer_of_texts(path, limit, nearly, with_ids, task_items), schema))]
+    # dealt by members, sorted for equal results in each run
+    key = F.xxhash64("members.ids_crc32", "members.doc_id", "members.piece")
+    small = F.col("filled") * 2 <= limit
     while True:
         under = rounds[-1].filter("NOT done")
-        left = under.count()
-        if left == 0:
+        left, few = under.agg(F.count(F.lit(1)), F.count_if(small)).first()
+        if not left:
             break
-        parts = max(1, -(-left // task_items))
-        # dealt by first member, sorted for equal results in each run
-        key = F.xxhash64("members.ids_crc32", "members.doc_id")
-        dealt = under.coalesce(1) if parts == 1 else under.repartition(parts, key)
+        last = left <= task_items or 2 * few <= task_items
+        if last:
+            # each small one joins at most one of the others, and none fits where it fits in none of the emptiest
+            emptiest = under.filter(~small).orderBy("filled", "bin").limit(few)
+            chosen = under if left <= task_items else under.filter(small).unionByName(emptiest)
+        else:
+            # after the first round small ones only meet their like: the others have had their run with them
+            chosen = under if len(rounds) == 1 else under.filter(small)
+        parts = 1 if last else max(1, -(-(left if len(rounds) == 1 else few) // task_items))
+        dealt = chosen.coalesce(1) if last else chosen.repartition(parts, key)
         dealt = dealt.sortWithinPartitions(F.col("filled").desc(), key)
-        last = parts == 1
-        rounds.append(written(dealt.mapInArrow(packer_of_bins(limit, nearly, last, with_ids), schema), "packed"))
-        if not last and rounds[-1].filter("NOT done").count() > 0.98 * left:
-            # nothing fits together any more: what is left stays as it is
-            rounds.append(written(rounds[-1].filter("NOT done").withColumn("done", F.lit(True)), "packed"))
+        packed = dealt.mapInArrow(packer_of_bins(limit, nearly, last, with_ids, task_items), schema)
+        if chosen is not under:
+            rest = under.filter(~small)
+            if last:
+                rest = rest.join(emptiest.select("bin"), "bin", "left_anti")
+            packed = packed.unionByName(rest.select("filled", F.lit(last).alias("done"), "members"))
+        rounds.append(kept(packed))
+        if last:
             break
     finished = rounds[0].filter("done")
     for later in rounds[1:]:

@@ -75,7 +75,8 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture(read(spark, sf_dir, "documents"))
+    first = ["doc_id", "size", "source_size", "target", "taken"]
+    return mixture(read(spark, sf_dir, "documents")).select(*first, "source", "times", "positions")
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
