@@ -68,14 +68,15 @@ def test_filtered_agrees_and_keeps_all_columns(docs):
     assert Counter(r.doc_id for r in left.collect()) == kept
 
 
-def expectation_maximisation(histogram, rules, steps=12):
+def expectation_maximisation(histogram, rules, tolerance):
     """The same estimate on plain lists: rows are votes and n."""
     import math
 
     first = q.first_model(rules)
     kinds, names = list(first.shares), first.rules
     shares, rejects = dict(first.shares), {k: dict(v) for k, v in first.rejects.items()}
-    for _ in range(steps):
+    while True:
+        before = (shares, {k: dict(v) for k, v in rejects.items()})
         rows = {k: 0.0 for k in kinds}
         voted, no = Counter(), Counter()
         for votes, n in histogram:
@@ -100,7 +101,9 @@ def expectation_maximisation(histogram, rules, steps=12):
             for r in names:
                 rate = (no[k, r] + q.PSEUDO * q._start(k, r)) / (voted[k, r] + q.PSEUDO)
                 rejects[k][r] = min(rate, q.MAX_FALSE_ALARM) if k == q.GOOD else max(rate, q.MIN_OWN) if k == r else rate
-    return shares, rejects
+        moved = [abs(shares[k] - before[0][k]) for k in kinds] + [shares[k] * abs(rejects[k][r] - before[1][k][r]) for k in kinds for r in names]
+        if max(moved) < tolerance:
+            return shares, rejects
 
 
 def test_estimate_against_plain_lists(spark):
@@ -109,8 +112,8 @@ def test_estimate_against_plain_lists(spark):
     names = [r.name for r in rules]
     found = Counter(tuple(random.choices([-1, 0, 1], weights=[1, 2, 9], k=4)) for _ in range(2000))
     frame = spark.createDataFrame([(*votes, n) for votes, n in found.items()], ", ".join(f"{n} int" for n in names) + ", n long")
-    model = q.estimate(frame, rules, steps=5, tolerance=0)
-    shares, rejects = expectation_maximisation(found.items(), rules, steps=5)
+    model = q.estimate(frame, rules, tolerance=0.0005)
+    shares, rejects = expectation_maximisation(found.items(), rules, 0.0005)
     for k in shares:
         assert abs(model.shares[k] - shares[k]) < 1e-9
         assert all(abs(model.rejects[k][r] - rejects[k][r]) < 1e-9 for r in names)

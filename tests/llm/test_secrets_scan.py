@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 
 from hypothesis import given, settings
@@ -50,6 +51,16 @@ def test_checksums():
     assert names(f"use {token}.") == ["web_token"] and names("eyJ9.eyJ9.x") == []
 
 
+def test_long_runs_of_a_keyword():
+    """1 MB of them takes well under a second, and a token that ends such a run is found as by the pattern alone."""
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiJ4In0.c2ln"
+    for text in ("eyJ" * 350_000, "eyJ." * 260_000, "eyJ" * 350_000 + ". " + token, "ghp_" * 250_000, "password" * 130_000, "-----BEGIN A " * 80_000):
+        started = time.perf_counter()
+        found = SCANNER.spans(text)
+        assert time.perf_counter() - started < 5
+        assert [x for x in found if x[1] == 5] == ([(len(text) - len(token), 5, len(text))] if text.endswith(token) else [])
+
+
 def test_rows(docs):
     data = [*AWKWARD, (9, "My PASSWORD = 'abcdefg' and " + "AKIA" + "Z" * 16)]
     found = {(r.doc_id, tuple((x.kind, x.start, x.stop) for x in r.spans)) for r in s.secrets(docs(data)).collect()}

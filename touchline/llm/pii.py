@@ -3,11 +3,13 @@
 *Base kinds* - email, ip, card, phone - have a form that can be told without context: a pattern
 and a test of what it matched. They are the seeds. Around them the corpus itself tells more:
 
-1. Every *mention*, a word with a digit or an ``@`` in it, is kept with the two words before it.
+1. Every *mention*, a word with a digit or an ``@`` in it, is kept with its context, the two words before it. A word
+   that is itself a mention stands there as a mark, and so does the beginning of the text.
 2. The contexts of known identifiers are patterns. A pattern's confidence is the share of known
    identifiers among everything that follows it anywhere in the corpus, ordinary words included.
 3. A mention's confidence is the chance that at least one of the patterns it was found with is right.
-   Mentions above the threshold become known, bring in their other contexts, and so on.
+   Mentions above the threshold become known, bring in their other contexts, and so on until a round adds
+   neither a pattern nor a mention. Scores only rise, so that comes.
 
 The mentions of patterns that ended confident are reported as kind ``context``. Everything is
 DataFrame functions; the corpus is read for the mentions, and once more to count what follows the
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.words import gaps_of, matches_of, placed, written
+from touchline.llm.words import bound, gaps_of, matches_of, placed, written
 
 # The forms of the base kinds. Possessive quantifiers and look-behinds only
 # keep the search linear, they match what the plain forms match: a run of one class is entered at its
@@ -41,7 +43,8 @@ KINDS = (*PATTERNS, "context")
 
 _BLANK = r"\x20\x09-\x0D"
 MENTION = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
-CONTEXT_CHARS = 80
+AT_MENTION, AT_START = "\x01", "\x02"
+"""What stands in a context for a mention and for the beginning of the text; no word holds such a character alone."""
 
 
 def _digits(value: Column) -> Column:
@@ -85,34 +88,44 @@ class Settings:
     accept: float = 0.5
     """Confidence above which a mention becomes known."""
 
-    rounds: int = 3
+
+def context_words(text: Column) -> Column:
+    """Two marks for the beginning, then the words of a text in lower case, mentions as marks."""
+    plain = F.regexp_replace(F.lower(text), MENTION, AT_MENTION)
+    words = F.array_remove(F.split(plain, rf"[{_BLANK}]+"), "")
+    return F.concat(F.array(F.lit(AT_START), F.lit(AT_START)), words)
+
+
+def _context(words: Column, i: Column) -> Column:
+    """The context of the word with number ``i``, counted without the two marks."""
+    return F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1))
 
 
 def with_mentions(docs: DataFrame, text: str) -> DataFrame:
     """Each row with its base spans, ``<kind>s``, and its ``mentions``: ``start, stop, value, before``.
 
-    A mention leaves out punctuation around the identifier; ``before`` is the two words in front
-    of it, in lower case, and empty where a text or another mention begins less than two words before.
+    A mention leaves out punctuation around the identifier; ``before`` is its context.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     spans = {f"__{kind}": F.transform(found(F.col("__text"), kind), lambda x: x.dropFields("gap")) for kind in PATTERNS}
 
-    def mention(place: Column) -> Column:
+    def mention(place: Column, before: Column) -> Column:
         lead = F.regexp_extract(place["value"], r"^[\"'(\[{<,;:]*", 0)
         core = F.regexp_replace(place["value"], r"^[\"'(\[{<,;:]+|[\"')\]}>,;:.!?]+$", "")
-        before = F.regexp_extract(F.lower(F.right(place["gap"], F.lit(CONTEXT_CHARS))), rf"(?:^|[{_BLANK}])([^{_BLANK}]+[{_BLANK}]+[^{_BLANK}]+)[{_BLANK}]*$", 1)
         start = place["start"] + F.length(lead)
-        return F.struct(
-            start.alias("start"),
-            (start + F.length(core)).alias("stop"),
-            core.alias("value"),
-            F.regexp_replace(before, rf"[{_BLANK}]+", " ").alias("before"),
-        )
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("stop"), core.alias("value"), before.alias("before"))
+
+    def contexts(words: Column) -> Column:
+        """Those of the mentions, in order."""
+        places = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.get(words, i + 2) == AT_MENTION)
+        return F.transform(places, lambda i: _context(words, i))
 
-    where = F.when(F.col("__text").rlike("[0-9@]"), placed(gaps_of(F.col("__text"), MENTION), matches_of(F.col("__text"), MENTION))).otherwise(F.expr(_NONE))
-    return docs.withColumn("__text", whole).withColumns(spans | {"__places": where}).withColumn(
-        "__mentions", F.filter(F.transform("__places", mention), lambda m: (m["value"] != "") & (m["before"] != ""))
-    ).drop("__text", "__places")
+    some = F.col("__text").rlike("[0-9@]")
+    where = F.when(some, placed(gaps_of(F.col("__text"), MENTION), matches_of(F.col("__text"), MENTION))).otherwise(F.expr(_NONE))
+    before = F.when(some, bound(context_words(F.col("__text")), contexts)).otherwise(F.expr("array() :: array<string>"))
+    return docs.withColumn("__text", whole).withColumns(spans | {"__places": where, "__before": before}).withColumn(
+        "__mentions", F.filter(F.zip_with("__places", "__before", mention), lambda m: m["value"] != "")
+    ).drop("__text", "__places", "__before")
 
 
 def known_contexts(rows: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
@@ -140,8 +153,8 @@ def known_contexts(rows: DataFrame, docs: DataFrame, text: str, settings: Settin
     edges = written(graph.join(followers, "before"), "graph")
 
     known = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
-    patterns = None
-    for _ in range(settings.rounds):
+    size = None
+    while True:
         scored = edges.join(known, "value")
         of_pattern = scored.groupBy("before").agg(
             F.sum(F.col("times") * F.col("score")).alias("right"),
@@ -167,6 +180,9 @@ def known_contexts(rows: DataFrame, docs: DataFrame, text: str, settings: Settin
             ),
             "known",
         )
+        before, size = size, (patterns.count(), known.filter(F.col("score") > 0).count())
+        if size == before:
+            break
     unseen = edges.filter(~F.col("seed")).join(known.filter(F.col("score") > 0), "value").join(patterns, "before")
     return unseen.select("before", "value")
 
@@ -185,20 +201,14 @@ def _bit_filter(contexts: DataFrame) -> list[int]:
 
 
 def _followers(docs: DataFrame, text: str, frequent: DataFrame) -> DataFrame:
-    """How often each context is followed by any word at all.
+    """How often each context is followed by any word at all, a mention or not.
 
     Word pairs that are no context are dropped where they are made, by the bits of their hash, and
     the others are counted before they are joined: what is shuffled is a count for each context and
     task, not the pairs. Pairs that share a context's bits by chance fall out in the join.
     """
-    word = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), rf"[{_BLANK}]+")
-    pairs = docs.select(word.alias("w")).select(
-        F.explode(
-            F.transform(
-                F.slice("w", F.lit(1), F.greatest(F.size("w") - 2, F.lit(0))),
-                lambda first, i: F.concat(first, F.lit(" "), F.get(F.col("w"), i + 1)),
-            )
-        ).alias("before")
+    pairs = docs.select(context_words(F.coalesce(F.col(text), F.lit(""))).alias("w")).select(
+        F.explode(F.transform(F.slice("w", F.lit(1), F.size("w") - 2), lambda first, i: _context(F.col("w"), i))).alias("before")
     )
     bit = F.pmod(F.xxhash64("before"), F.lit(FILTER_BITS))
     held = F.get(F.lit(_bit_filter(frequent)), F.floor(bit / 64).cast("int"))

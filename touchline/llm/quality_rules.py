@@ -217,15 +217,16 @@ def _start(kind: str, rule: str) -> float:
     return START["false alarm"] if kind == GOOD else START["own" if kind == rule else "other"]
 
 
-def estimate(histogram: DataFrame, rules: tuple[Rule, ...] = RULES, steps: int = 12, tolerance: float = 1e-4) -> Model:
+def estimate(histogram: DataFrame, rules: tuple[Rule, ...] = RULES, tolerance: float = 1e-4) -> Model:
     """Expectation maximisation over a histogram of votes: one column for each rule, and ``n``.
 
     Each step is one aggregate of the histogram, returning for each class and rule the expected
-    number of votes and of rejections.
+    number of votes and of rejections. Steps go on until neither the share of a class nor
+    the share of its documents that a rule rejects moves by ``tolerance`` of all documents.
     """
     model = first = first_model(rules)
     names, kinds = first.rules, list(first.shares)
-    for _ in range(steps):
+    while True:
         weighed = histogram.select(
             "n",
             F.array(*[F.col(name) for name in names]).alias("votes"),
@@ -256,12 +257,11 @@ def estimate(histogram: DataFrame, rules: tuple[Rule, ...] = RULES, steps: int =
             rejects[kind][name] = rate
         change = max(
             *(abs(shares[kind] - model.shares[kind]) for kind in kinds),
-            *(abs(rejects[kind][name] - model.rejects[kind][name]) for kind, name in of),
+            *(shares[kind] * abs(rejects[kind][name] - model.rejects[kind][name]) for kind, name in of),
         )
         model = Model(names, shares, rejects)
         if change < tolerance:
-            break
-    return model
+            return model
 
 
 def base_failed() -> Column:

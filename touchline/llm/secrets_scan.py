@@ -60,10 +60,15 @@ class Kind:
     keywords: tuple[str, ...]
     pattern: str
     holds: Callable[[re.Match], bool]
+    run: str = ""
+    """A class of characters: where the pattern fails, it fails at all further keywords in the same run of these."""
+
     regex: re.Pattern = field(init=False)
+    run_regex: re.Pattern | None = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "regex", re.compile(self.pattern, re.ASCII))
+        object.__setattr__(self, "run_regex", re.compile(f"{self.run}+") if self.run else None)
 
 
 # Keywords and forms of the kinds, the base ones first.
@@ -78,7 +83,7 @@ KINDS = (
     Kind("hex", (), r"[0-9a-f]+", lambda match: len(match.group()) >= 24),
     Kind("hosted_git", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])", crc_suffix),
     Kind("package_registry", ("npm_",), r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])", crc_suffix),
-    Kind("web_token", ("eyj",), r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*", web_token),
+    Kind("web_token", ("eyj",), r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*", web_token, "[A-Za-z0-9_-]"),
     Kind("private_key", ("-----begin ",), r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", lambda match: True),
 )
 BASE = ("assign", "access", "hex")
@@ -146,10 +151,14 @@ class Scanner:
             kind, free = self._kinds[number], 0
             for place in sorted(places):
                 # a match uses up its characters whether it holds or not
-                if place >= free and (match := kind.regex.match(text, place)):
+                if place < free:
+                    continue
+                if match := kind.regex.match(text, place):
                     free = match.end()
                     if kind.holds(match):
                         out.append((place, number, match.end()))
+                elif kind.run_regex and (run := kind.run_regex.match(text, place)):
+                    free = run.end()
         return sorted(out)
 
 
