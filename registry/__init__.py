@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry import dimensions, facts, ingestion, quality, scalars, staged, warehouse
+from registry import dimensions, facts, ingestion, quality, ranges, scalars, staged, warehouse
 from registry.register import Entry
 
 ENTRIES: dict[str, Entry] = {
@@ -12,5 +12,6 @@ ENTRIES: dict[str, Entry] = {
     **staged.ENTRIES,
     **ingestion.ENTRIES,
     **quality.ENTRIES,
+    **ranges.ENTRIES,
     **warehouse.ENTRIES,
 }

@@ -122,9 +122,19 @@ def test_scan_after_scan_uses_the_first(spark):
     assert changes() == changes(max_group_rows=10, segment_rows=15)
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_group_rows": 10, "segment_rows": 30}])
-def test_batches(spark, limits):
+@pytest.mark.parametrize("partitions", [None, 1, 7, 300])
+def test_batches(spark, partitions):
     ids = spark.range(0, 505, 2).select((F.col("id") * 7 % 1010).alias("id"))
-    found = {row.id: row.batch for row in batches(ids, "id", 100, **limits).collect()}
+    cut = batches(ids, "id", 100, partitions)
+    assert "SinglePartition" not in cut._jdf.queryExecution().executedPlan().toString()
+    found = {row.id: row.batch for row in cut.collect()}
     assert found == {ident: i // 100 for i, ident in enumerate(sorted(found))}
     assert len(found) == 253
+
+
+def test_batches_of_ties_nulls_and_nothing(spark):
+    ids = spark.createDataFrame([(x,) for x in [3, 3, None, 1, None, 2]], "id long")
+    assert sorted((r.batch, r.id is None, r.id or 0) for r in batches(ids, "id", 2, 3).collect()) == [
+        (0, False, 1), (0, False, 2), (1, False, 3), (1, False, 3), (2, True, 0), (2, True, 0),
+    ]
+    assert batches(ids.limit(0), "id").count() == 0
