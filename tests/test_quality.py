@@ -150,3 +150,29 @@ def test_empty_frame(df):
     empty = df.filter("false")
     checks = [q.not_null("id"), q.unique("id"), q.equal_counts("name", "a", "b")]
     assert [row.failures for row in q.run_checks(empty, checks).collect()] == [0, 0, 0]
+
+
+def test_stacked_checks_equal_each_on_its_own(spark):
+    """Uniques, combinations and foreign keys of several types, counted together."""
+    rnd = random.Random(8)
+    pick = lambda some: rnd.choice([*some, None])
+    data = [(pick(range(9)), pick("abc"), pick([0.5, -0.0, 0.0]), [pick(range(12)) for _ in range(rnd.randrange(4))] or None, T0 + dt.timedelta(days=pick([1, 2]) or 0)) for _ in range(60)]
+    df = spark.createDataFrame(data, "id int, name string, x double, ids array<int>, at timestamp_ntz")
+    parent = spark.createDataFrame([(k, "a" if k == 2 else None) for k in [1, 2, 3, None, 3]], "k int, s string")
+    wide = parent.select(F.col("k").cast("bigint").alias("k"))
+    checks = [
+        q.unique("id"), q.unique("id", where="name = 'a'"), q.unique("x"), q.unique("at"), q.unique_combination(["id", "name"]),
+        q.unique_combination(["id"]), q.unique_combination(["name", "at"], where="id > 3"), q.unique_combination(["id", "x"]),
+        q.relationships("id", parent, "k"), q.relationships("id", parent, "k", where="name = 'b'"), q.relationships("id", parent, "k", parent_where="k > 1"),
+        q.relationships("id", wide, "k"), q.relationships("name", parent, "s").warn(), q.list_relationships("ids", parent, "k"),
+    ]
+    for frame in (df, df.limit(0)):
+        found = [(r.check, r.severity, r.failures) for r in q.run_checks(frame, checks).collect()]
+        assert sorted(found) == sorted((c.name, c.severity, c.count(frame).first().failures) for c in checks)
+
+
+def test_shared_checks_scan_once(df):
+    parent = df.sparkSession.range(3)
+    many = [q.unique("id"), q.unique("name"), q.relationships("id", parent.select(F.col("id").cast("int").alias("id")), "id")]
+    plan = q.run_checks(df.select("*"), many)._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan  # what is left reads the counted values only

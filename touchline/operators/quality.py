@@ -16,19 +16,65 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ordered import Scan, following, ordered, ranked, running_max
+from touchline.sources.tables import scratch_table
 
 Condition = Column | str
 FAILURES = "failures"
 
 
+@dataclass(frozen=True)
+class Shared:
+    """What a check counts the rows of: values of some columns, and for foreign keys the frame they have to be in."""
+
+    columns: tuple[str, ...]
+    where: Condition | None = None
+    listed: bool = False
+    nulls: bool = False
+    parent: DataFrame | None = None
+    field: str | None = None
+    parent_where: Condition | None = None
+
+    def values(self, df: DataFrame) -> Column | None:
+        """``array<string>`` of a row's values; None where text would not tell values apart as their own type does."""
+        kinds = dict(df.dtypes)
+        own = [kinds.get(name, "") for name in self.columns]
+        if self.listed:
+            own = [kind.removeprefix("array<").removesuffix(">") for kind in own]
+        if not all(kind.startswith(_TOLD_BY_TEXT) for kind in own):
+            return None
+        if self.parent is not None and dict(self.parent.dtypes)[self.field] != own[0]:
+            return None
+        if self.listed:
+            found = F.transform(F.col(self.columns[0]), lambda value: value.cast("string"))
+        elif len(self.columns) > 1:
+            found = F.array(F.to_json(F.struct(*[F.col(name).cast("string").alias(f"c{i}") for i, name in enumerate(self.columns)]), {"ignoreNullFields": "false"}))
+        else:
+            found = F.array(F.col(self.columns[0]).cast("string"))
+        if not self.nulls:
+            found = F.array_compact(found)
+        empty = F.expr("array() :: array<string>")
+        found = F.coalesce(found, empty)
+        return found if self.where is None else F.when(_condition(self.where), found).otherwise(empty)
+
+    def known(self) -> DataFrame:
+        return _chosen(self.parent, self.parent_where).select(F.col(self.field).cast("string").alias("__known")).distinct()
+
+
+_TOLD_BY_TEXT = ("string", "tinyint", "smallint", "int", "bigint", "decimal", "date", "timestamp", "boolean")
+
+
 @dataclass(frozen=True)
 class Check:
-    """``weight`` is the number of failures in a row, for checks a single row can decide."""
+    """``weight`` is the number of failures in a row, for checks a single row can decide.
+
+    ``shared`` describes checks on values of several rows, so that many of them can be counted together.
+    """
 
     name: str
     failing: Callable[[DataFrame], DataFrame]
     weight: Column | None = None
     severity: str = "error"
+    shared: Shared | None = None
 
     def warn(self) -> Check:
         """Report, but do not fail."""
@@ -126,13 +172,15 @@ def unique_combination(columns: Sequence[str], where: Condition | None = None) -
         groups = _chosen(df, where).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
         return groups.filter("rows > 1")
 
-    return Check(_label(f"unique({', '.join(columns)})", where), failing)
+    return Check(_label(f"unique({', '.join(columns)})", where), failing, shared=Shared(tuple(columns), where, nulls=True))
 
 
 def unique(column: str, where: Condition | None = None) -> Check:
     """NULLs may repeat."""
     combination = unique_combination([column], where)
-    return replace(combination, failing=lambda df: combination.failing(df.filter(F.col(column).isNotNull())))
+    return replace(
+        combination, failing=lambda df: combination.failing(df.filter(F.col(column).isNotNull())), shared=Shared((column,), where)
+    )
 
 
 def relationships(
@@ -144,7 +192,8 @@ def relationships(
         child = _chosen(df, where).filter(F.col(column).isNotNull())
         return _missing(child.select(F.col(column).alias("value")), _chosen(parent, parent_where), field)
 
-    return Check(_label(f"relationships({column} -> {field})", where), failing)
+    shared = Shared((column,), where, parent=parent, field=field, parent_where=parent_where)
+    return Check(_label(f"relationships({column} -> {field})", where), failing, shared=shared)
 
 
 def list_relationships(column: str, parent: DataFrame, field: str) -> Check:
@@ -153,7 +202,8 @@ def list_relationships(column: str, parent: DataFrame, field: str) -> Check:
     def failing(df: DataFrame) -> DataFrame:
         return _missing(df.select(F.explode(column).alias("value")), parent, field)
 
-    return Check(f"list_relationships({column} -> {field})", failing)
+    shared = Shared((column,), listed=True, nulls=True, parent=parent, field=field)
+    return Check(f"list_relationships({column} -> {field})", failing, shared=shared)
 
 
 def _missing(values: DataFrame, parent: DataFrame, field: str) -> DataFrame:
@@ -245,7 +295,9 @@ def scan_is_true(
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: name, severity and number of failures.
 
-    All single-row checks share one aggregate over one scan.
+    All single-row checks share one aggregate over one scan. All uniques and foreign keys share another: each row gives
+    its values for every check, and equal ones are counted map-side before one shuffle. Only values that may
+    fail are kept of that, the repeated ones and the foreign keys; these meet each parent table once.
     """
     fused = [check for check in checks if check.weight is not None]
     results = []
@@ -253,12 +305,44 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         sums = df.agg(*[F.coalesce(F.sum(c.weight), F.lit(0)).alias(f"c{i}") for i, c in enumerate(fused)])
         rows = [_result(check, F.col(f"c{i}")) for i, check in enumerate(fused)]
         results.append(sums.select(F.inline(F.array(*rows))))
-    for check in checks:
-        if check.weight is None:
+    values = {i: c.shared.values(df) for i, c in enumerate(checks) if c.shared is not None}
+    stacked = {i: found for i, found in values.items() if found is not None}
+    if len(stacked) > 1:
+        results.append(_stacked(df, checks, stacked))
+    else:
+        stacked = {}
+    for i, check in enumerate(checks):
+        if check.weight is None and i not in stacked:
             results.append(check.count(df).select(_result(check, F.col(FAILURES)).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, results)
 
 
+def _stacked(df: DataFrame, checks: Sequence[Check], stacked: Mapping[int, Column]) -> DataFrame:
+    """The results of checks on shared values, all counted in one pass."""
+
+    def tagged(i: int, found: Column) -> Column:
+        return F.transform(found, lambda value: F.struct(F.lit(i).alias("check"), value.alias("value")))
+
+    each = df.select(F.inline(F.concat(*[tagged(i, found) for i, found in stacked.items()])))
+    counted = each.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+    keys = [i for i in stacked if checks[i].shared.parent is not None]
+    suspect = scratch_table(counted.filter(F.col("check").isin(keys) | (F.col("n") > 1)), "values")
+    # a repeated value is one failure, a missing key as many as it has rows
+    failures = suspect.filter(~F.col("check").isin(keys)).groupBy("check").agg(F.count(F.lit(1)).alias(FAILURES))
+    parents: dict[tuple, list[int]] = {}
+    for i in keys:
+        shared = checks[i].shared
+        parents.setdefault((id(shared.parent), shared.field, str(shared.parent_where)), []).append(i)
+    for own in parents.values():
+        known = checks[own[0]].shared.known()
+        missing = suspect.filter(F.col("check").isin(own)).join(known, F.col("value") == F.col("__known"), "left_anti")
+        failures = failures.unionByName(missing.groupBy("check").agg(F.sum("n").alias(FAILURES)))
+    names = [F.struct(F.lit(i).alias("i"), F.lit(checks[i].name).alias("check"), F.lit(checks[i].severity).alias("severity")) for i in stacked]
+    listed = df.sparkSession.range(1).select(F.inline(F.array(*names)))
+    found = listed.join(failures.withColumnRenamed("check", "at"), F.col("i") == F.col("at"), "left")
+    return found.select("check", "severity", F.coalesce(FAILURES, F.lit(0)).cast("bigint").alias(FAILURES))
+
+
 def _result(check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(check.name).alias("check"),
