@@ -91,9 +91,9 @@ class Settings:
 
 def context_words(text: Column) -> Column:
     """Two marks for the beginning, then the words of a text in lower case, mentions as marks."""
-    plain = F.regexp_replace(F.lower(text), MENTION, AT_MENTION)
-    words = F.array_remove(F.split(plain, rf"[{_BLANK}]+"), "")
-    return F.concat(F.array(F.lit(AT_START), F.lit(AT_START)), words)
+    words = F.array_remove(F.split(F.lower(text), rf"[{_BLANK}]+"), "")
+    marked = F.transform(words, lambda word: F.when(word.rlike("[0-9@]"), AT_MENTION).otherwise(word))
+    return F.concat(F.array(F.lit(AT_START), F.lit(AT_START)), marked)
 
 
 def _context(words: Column, i: Column) -> Column:
