@@ -3,13 +3,17 @@
 An archive is a table of WARC records at their byte offsets, in files of bounded size; the record's
 bytes are what a WARC file holds there. Its *manifest* keeps, for each record, offset, length and SHA-256.
 
-The leaves of a tree are the records in offset order. An inner node covers ``FANOUT`` neighbours and hashes
-their ordered ranges and hashes, so a changed, missing, moved or resized record changes every node above it
-and nothing else. Two replicas are compared at the root; only below nodes that differ is the next level
-looked at, by a join with the children of those nodes. Sound replicas cost one comparison.
+Each replica has a tree of its own, built from the records it holds. Its leaves are those records by address,
+which is the file's share of one address space and the offset in it. A node above the leaves covers ``BLOCK`` bytes of
+addresses, a node above that ``FANOUT`` of those, and hashes the ordered addresses, lengths and hashes below it. So a
+changed, missing, resized or additional record changes the nodes above it and no others. Two replicas are
+compared at the root; only below nodes that differ is the next level looked at, by a join with the children
+of those nodes. Sound replicas cost one comparison.
 
 Defined cases: NULL url or html are written as empty; pages without a number come first and are told apart
-by their content; repeated rows are records of their own; an empty table has no record and no tree.
+by their content; repeated rows are records of their own; an empty table has no record, and its tree no node. A replica's record without file or offset stands at
+no address of the manifest, so it is reported as extra, all of those together as one; a record that a replica lists
+twice is one record, and different records at one address are a changed one.
 """
 
 from __future__ import annotations
@@ -26,6 +30,12 @@ from pyspark.sql import functions as F
 from touchline.llm.words import written
 
 FANOUT = 16
+BLOCK = 4096
+"""Bytes of addresses below one node of the lowest level; records of 150 bytes or more make that 28 children at most."""
+
+NOWHERE = -1
+"""Address of records without a place."""
+
 FILE_BYTES = 64 * 1024 * 1024
 DATE = "2000-01-01T00:00:00Z"
 """Pages carry no time of capture, so all records get this one."""
@@ -92,57 +102,92 @@ def manifest(table: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Tree:
-    """Levels from the leaves up; each has ``node, start, stop, hash``. The last one is the root."""
+    """Levels from the leaves up; each has ``node, hash``, the leaves' nodes being addresses. The last one is the root."""
 
     levels: list[DataFrame]
 
 
-def tree(leaves: DataFrame, fanout: int = FANOUT) -> Tree:
-    """The tree over ``leaf, start, length, sha256``."""
-    level = leaves.select(F.col("leaf").alias("node"), "start", (F.col("start") + F.col("length")).alias("stop"), F.col("sha256").alias("hash"))
-    levels = [level]
-    nodes = leaves.agg(F.max("leaf")).first()[0]
-    nodes = 0 if nodes is None else nodes + 1
-    while nodes > 1:
-        child = F.struct("node", F.concat_ws(" ", F.col("start").cast("string"), F.col("stop").cast("string"), F.coalesce("hash", F.lit("missing"))).alias("line"))
-        grouped = level.groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(
-            F.min("start").alias("start"), F.max("stop").alias("stop"), F.sort_array(F.collect_list(child)).alias("children")
-        )  # at most FANOUT children each
-        level = written(grouped.select("node", "start", "stop", F.sha2(F.array_join(F.transform("children", lambda c: c["line"]), "\n"), 256).alias("hash")), "level")
+def space(*tables: DataFrame) -> tuple[int, int]:
+    """``(stride, end)``: addresses that a file gets, and the address behind the last file of all tables."""
+    stride, files = 1, 0
+    for table in tables:
+        last = table.agg(F.max("offset").alias("offset"), F.max("file").alias("file")).first()
+        stride = max(stride, (last["offset"] or 0) + 1)
+        files = max(files, 0 if last["file"] is None else last["file"] + 1)
+    return stride, stride * files
+
+
+def address(stride: int) -> Column:
+    return F.coalesce(F.col("file").cast("long") * stride + F.col("offset"), F.lit(NOWHERE).cast("long"))
+
+
+def leaves_of(records: DataFrame, stride: int) -> DataFrame:
+    """``node, hash`` of records with ``file, offset, length, sha256``: one leaf for each address that has a record."""
+    line = F.concat_ws(" ", F.coalesce(F.col("length").cast("string"), F.lit("?")), F.coalesce("sha256", F.lit("?")))
+    held = records.groupBy(address(stride).alias("node")).agg(F.min(line).alias("one"), F.max(line).alias("other"))
+    return written(held.select("node", F.when(F.col("one") == F.col("other"), F.col("one")).otherwise(F.concat_ws(" or ", "one", "other")).alias("hash")), "leaves")
+
+
+def tree(leaves: DataFrame, end: int, fanout: int = FANOUT) -> Tree:
+    """The tree over the leaves of addresses below ``end``."""
+    level, levels, width = leaves, [leaves], BLOCK
+    while True:
+        child = F.struct("node", F.concat_ws(" ", F.col("node").cast("string"), "hash").alias("line"))
+        grouped = level.groupBy(F.floor(F.col("node") / width).alias("node")).agg(F.sort_array(F.collect_list(child)).alias("children"))
+        level = written(grouped.select("node", F.sha2(F.array_join(F.transform("children", lambda c: c["line"]), "\n"), 256).alias("hash")), "level")
         levels.append(level)
-        nodes = -(-nodes // fanout)
-    return Tree(levels)
+        end, width = -(-end // width), fanout
+        if end <= 1:
+            return Tree(levels)
 
 
 def mismatches(first: Tree, second: Tree, fanout: int = FANOUT) -> DataFrame | None:
-    """The leaves, as ``leaf``, in which two trees over the same manifest differ; None if their roots agree."""
-    suspects = None
-    for mine, other in zip(reversed(first.levels), reversed(second.levels), strict=True):
-        pair = other.select(F.col("node").alias("at"), F.col("hash").alias("their_hash"))
+    """``node, hash, their_hash`` of the leaves in which two trees over the same addresses differ; None if the roots agree.
+
+    A leaf that only one tree has is NULL in the other's hash.
+    """
+    suspects, width = None, None
+    for depth in range(len(first.levels) - 1, -1, -1):
+        mine, theirs = first.levels[depth], second.levels[depth].withColumnRenamed("hash", "their_hash")
         if suspects is not None:
-            below = mine.join(suspects, F.floor(mine["node"] / fanout) == suspects["parent"], "left_semi")
-            pair = pair.join(suspects, F.floor(F.col("at") / fanout) == suspects["parent"], "left_semi")
-        else:
-            below = mine
-        differing = below.join(pair, F.col("node") == F.col("at")).filter(~F.col("hash").eqNullSafe(F.col("their_hash")))
-        suspects = written(differing.select(F.col("node").alias("parent")), "suspects")
+            parents = suspects.select(F.col("node").alias("parent"))
+            width = BLOCK if depth == 0 else fanout
+            mine, theirs = (side.join(parents, F.floor(F.col("node") / width) == F.col("parent"), "left_semi") for side in (mine, theirs))
+        pair = mine.join(theirs, "node", "full").filter(~F.col("hash").eqNullSafe(F.col("their_hash")))
+        suspects = written(pair.select("node", "hash", "their_hash"), "suspects")
         if suspects.isEmpty():
             return None
-    return suspects.withColumnRenamed("parent", "leaf")
-
-
-def replica_leaves(listed: DataFrame, replica: DataFrame) -> DataFrame:
-    """The manifest's leaves with the hashes a replica has at their offsets; NULL where it has no such record."""
-    there = replica.select("file", "offset", F.col("length").alias("has"), F.sha2("record", 256).alias("found"))
-    same = F.col("has") == F.col("length")
-    joined = listed.drop("sha256").join(there, ["file", "offset"], "left")
-    return written(joined.select("page_id", "file", "offset", "length", "leaf", "start", F.when(same, F.col("found")).alias("sha256")), "replica")
+    return suspects
 
 
 def audited(listed: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """The manifest with ``intact``: whether the replica holds the same bytes in each record's range."""
-    found = mismatches(tree(listed, fanout), tree(replica_leaves(listed, replica), fanout), fanout)
+    """The manifest with what a replica holds at each record's place, and the records that only the replica has.
+
+    ``state`` is ``intact``, ``changed``, ``resized`` or ``missing``, and ``extra`` for rows that the manifest lacks: these
+    have file, offset, length and hash of the replica and no number, leaf or start. ``intact`` says that the state is.
+    """
+    there = replica.select("file", "offset", "length", F.sha2("record", 256).alias("sha256"))
+    stride, end = space(listed, replica)
+    mine, theirs = leaves_of(listed, stride), leaves_of(there, stride)
+    found = mismatches(tree(mine, end, fanout), tree(theirs, end, fanout), fanout)
     if found is None:
-        return listed.withColumn("intact", F.lit(True))
-    bad = found.withColumn("bad", F.lit(True))
-    return listed.join(bad, "leaf", "left").withColumn("intact", F.col("bad").isNull()).drop("bad")
+        return listed.withColumns({"state": F.lit("intact"), "intact": F.lit(True)})
+    length = {side: F.substring_index(side, " ", 1) for side in ("hash", "their_hash")}
+    state = (
+        F.when(F.col("their_hash").isNull(), "missing")
+        .when(length["hash"] != length["their_hash"], "resized")
+        .otherwise("changed")
+    )
+    bad = found.filter("hash IS NOT NULL").select("node", state.alias("bad"))
+    judged = listed.withColumn("node", address(stride)).join(bad, "node", "left").withColumn("state", F.coalesce("bad", F.lit("intact")))
+    judged = judged.select(*listed.columns, "state", (F.col("state") == "intact").alias("intact"))
+    placed = F.col("node") != NOWHERE
+    extra = found.filter("hash IS NULL").select(
+        F.when(placed, F.floor(F.col("node") / stride)).cast("int").alias("file"),
+        F.when(placed, F.pmod("node", F.lit(stride))).cast("long").alias("offset"),
+        F.expr("try_cast(substring_index(their_hash, ' ', 1) AS bigint)").alias("length"),
+        F.substring_index(F.substring_index("their_hash", " or ", 1), " ", -1).alias("sha256"),
+        F.lit("extra").alias("state"),
+        F.lit(False).alias("intact"),
+    )
+    return judged.unionByName(extra, allowMissingColumns=True)

@@ -63,15 +63,27 @@ def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record of the pages' archive, and whether a replica with flipped bytes still holds it.
+    """Every record of the pages' archive and what a replica holds in its place, and what only the replica holds.
 
-    The replica is the archive with one byte changed in about one record of 256, told by its hash.
+    The replica is damaged in one record of 256 each, told by the first byte of its hash: 00 has a byte of the head
+    changed, 01 a byte of the body's end, 02 is lost, 03 lacks its last byte, and 04 stands behind the file a second time.
     """
     shipped(spark)
     original = archive(read(spark, sf_dir, "pages"))
-    damaged = F.when(F.startswith(F.sha2("record", 256), F.lit("00")), F.expr("overlay(record PLACING X'00' FROM 40 FOR 1)"))
-    replica = original.withColumn("record", F.coalesce(damaged, "record"))
-    return audited(manifest(original), replica).select("page_id", "start", "length", "sha256", "intact")
+    listed = manifest(original)
+    return audited(listed, damaged(original)).select("page_id", "start", "length", "sha256", "state", "intact")
+
+
+def damaged(original: DataFrame) -> DataFrame:
+    told = original.withColumn("told", F.substring(F.sha2("record", 256), 1, 2))
+    # FF occurs nowhere in UTF-8
+    head, tail = (f"overlay(record PLACING X'FF' FROM {place} FOR 1)" for place in ("40", "CAST(length - 4 AS int)"))
+    record = F.when(F.col("told") == "00", F.expr(head)).when(F.col("told") == "01", F.expr(tail))
+    record = record.when(F.col("told") == "03", F.expr("substring(record, 1, CAST(length - 1 AS int))")).otherwise(F.col("record"))
+    kept = told.filter("told <> '02'").withColumns({"record": record, "length": F.octet_length(record).cast("long")})
+    ends = original.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("end"))
+    again = told.filter("told = '04'").join(ends, "file").withColumn("offset", F.col("end") + F.col("offset"))
+    return kept.drop("told").unionByName(again.drop("told", "end"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +181,13 @@ WITH r AS (
   FROM (SELECT page_id, coalesce(url, '') AS u, coalesce(html, '') AS b, chr(13) || chr(10) AS e FROM pages))
 SELECT page_id,
   CAST(coalesce(sum(strlen(record)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
-  strlen(record) AS length, sha256(record) AS sha256, NOT starts_with(sha256(record), '00') AS intact
-FROM r"""
+  strlen(record) AS length, sha256(record) AS sha256,
+  CASE left(sha256(record), 2) WHEN '00' THEN 'changed' WHEN '01' THEN 'changed' WHEN '02' THEN 'missing'
+    WHEN '03' THEN 'resized' ELSE 'intact' END AS state,
+  left(sha256(record), 2) NOT IN ('00', '01', '02', '03') AS intact
+FROM r
+UNION ALL
+SELECT NULL, NULL, strlen(record), sha256(record), 'extra', false FROM r WHERE starts_with(sha256(record), '04')"""
 
 # phrases of each length counted apart
 COLLOCATIONS_SQL = r"""
