@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from registry import derived as d
 from registry import raw
 from registry.register import Entry, table, with_sql
+from touchline.operators import quality as q
+from touchline.operators.contract import ContractBroken
+from touchline.plans.publishing import publish
 from touchline.sources import landing, schemas
 from touchline.session import shared_folder
 from touchline.sources.tables import create_or_replace
@@ -170,6 +174,29 @@ def replaced_table(spark: SparkSession, folder: str) -> DataFrame:
     return create_or_replace(first.filter("status = 'finished'"), "replaced_matches")
 
 
+def published_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that two replacements leave as it was: one breaks a check, the other the contract."""
+    name = f"published_{uuid.uuid4().hex}"
+    declared = {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double"}
+    checks = [
+        q.unique("o_orderkey"),
+        q.not_null("o_orderstatus"),
+        q.accepted_range("o_totalprice", 0),
+        q.accepted_values("o_orderstatus", ["F"]).warn(),
+    ]
+    first = publish(table(spark, folder, "orders").select(*declared), name, declared, checks)
+    twice = first.unionByName(first.filter("o_orderstatus = 'F'"))
+    as_text = first.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    for broken, error in ((twice, q.ChecksFailed), (as_text, ContractBroken)):
+        with contextlib.suppress(error):
+            publish(broken, name, declared, checks)
+            raise AssertionError("a broken table was published")
+    return spark.table(name)
+
+
+PUBLISHED_TABLE = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+
+
 def landed_files(spark: SparkSession, folder: str) -> DataFrame:
     """The responses as files of one line each response, read, parsed and counted."""
     path = f"{shared_folder(spark)}/responses-{uuid.uuid4().hex}"
@@ -204,5 +231,6 @@ ENTRIES = {
     "landing_bad": Entry(landing_bad, LANDING_BAD),
     "concat_pages": Entry(concat_pages, CONCAT_PAGES),
     "landed_files": Entry(landed_files, LANDED_FILES),
+    "published_table": Entry(published_table, PUBLISHED_TABLE),
     "replaced_table": Entry(replaced_table, REPLACED_TABLE),
 }

@@ -1,15 +1,18 @@
 """From landed JSON files to the marts."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 import football
 from helpers import rows
+from touchline.operators import quality as q
 from touchline.operators.quality import run_checks
 from touchline.operators.contract import ContractBroken, contract_breaks, contract_report, enforce_contract
 from touchline.plans import checks, warehouse
+from touchline.plans.publishing import publish
 from touchline.sources import landing, schemas
 from touchline.sources.tables import create_or_replace, source
 
@@ -330,6 +333,48 @@ def test_tables_are_written_and_replaced(spark, raw):
         spark.sql("DROP DATABASE warehouse_test CASCADE")
 
 
+def test_broken_tables_are_not_published(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS publishing_test")
+    name, declared = "publishing_test.t", {"id": "bigint", "even": "boolean"}
+    checks = [q.unique("id"), q.not_null("even"), q.accepted_values("even", [True]).warn()]
+    frame = lambda n: spark.range(n).withColumn("even", F.col("id") % 2 == 0)
+    versions = lambda: [t.name for t in spark.catalog.listTables("publishing_test") if t.name.startswith("t__")]
+    try:
+        # nothing is there yet, and a broken first version leaves nothing
+        with pytest.raises(q.ChecksFailed, match="unique.id.: 1"):
+            publish(frame(3).union(frame(1)), name, declared, checks)
+        assert not spark.catalog.tableExists(name) and versions() == []
+        # a warning does not hold it back; columns come in declared order
+        assert rows(publish(frame(2).select("even", "id"), name, declared, checks)) == [(0, True), (1, False)]
+        broken = {
+            "extra": (frame(3).withColumn("more", F.lit(1)), ContractBroken),
+            "type": (frame(3).withColumn("id", F.col("id").cast("int")), ContractBroken),
+            "missing": (frame(3).drop("even"), ContractBroken),
+            "null": (frame(3).withColumn("even", F.lit(None).cast("boolean")), q.ChecksFailed),
+            "repeated": (spark.table(name).union(spark.table(name)), q.ChecksFailed),
+        }
+        for df, error in broken.values():
+            with pytest.raises(error):
+                publish(df, name, declared, checks)
+            assert rows(spark.table(name)) == [(0, True), (1, False)] and len(versions()) == 1
+        assert publish(frame(0), name, declared, checks).count() == 0
+    finally:
+        spark.sql("DROP DATABASE publishing_test CASCADE")
+
+
+def test_replacements_side_by_side(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parallel_test")
+    try:
+        create_or_replace(spark.range(1), "parallel_test.t")
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda n: create_or_replace(spark.range(n), "parallel_test.t"), range(2, 8)))
+        assert spark.table("parallel_test.t").count() in range(2, 8)
+        # the current version and the one before it
+        assert len([t.name for t in spark.catalog.listTables("parallel_test") if t.name.startswith("t__")]) == 2
+    finally:
+        spark.sql("DROP DATABASE parallel_test CASCADE")
+
+
 def test_landing_counts_bad_payloads(spark, tmp_path):
     football.write(tmp_path)
     payloads = landing.read_payloads(spark, f"{tmp_path}/matches.json")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,33 +22,44 @@ def parquet_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 VERSION, PREVIOUS = "touchline.version", "touchline.previous"
+_switching = threading.Lock()
 
 
-def create_or_replace(df: DataFrame, table: str) -> DataFrame:
+def create_or_replace(df: DataFrame, table: str, accept: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """Replace a catalog table with ``df`` and return the new table.
 
     The name is a view of a version of its own. A new version is written beside it, and when it is
     complete the view is pointed there, in one step: a job that fails changes nothing, a reader sees
     the old rows or the new ones, and ``df`` may read what it replaces. The version before stays
-    until the next replacement, for readers that have begun on it.
+    until the next replacement, for readers that have begun on it. Only a plain table that something else
+    made has to make room for the view first, so its readers find nothing for a moment.
+
+    ``accept`` gets the written version before the view is pointed there. If it raises, the version is
+    dropped and the table stays as it was.
+
+    Replacements of one application may run side by side: each takes the version that it finds when it is
+    complete as the one before, so all take effect, in that order, and none is left behind.
     """
     spark = df.sparkSession
     fresh = f"{table}__{uuid.uuid4().hex}"
     try:
         df.write.saveAsTable(fresh)
+        if accept is not None:
+            accept(spark.table(fresh))
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         raise
-    before = _properties(spark, table)
-    if before is not None and VERSION not in before:
-        # a plain table of that name, made by something else: it becomes the first version
-        before = {VERSION: f"{table}__{uuid.uuid4().hex}"}
-        spark.sql(f"ALTER TABLE {table} RENAME TO {before[VERSION]}")
-    before = before or {}
-    properties = f"'{VERSION}' = '{fresh}', '{PREVIOUS}' = '{before.get(VERSION, '')}'"
-    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS SELECT * FROM {fresh}")
-    if before.get(PREVIOUS):
-        spark.sql(f"DROP TABLE IF EXISTS {before[PREVIOUS]}")
+    with _switching:
+        before = _properties(spark, table)
+        if before is not None and VERSION not in before:
+            # a plain table of that name, made by something else: it becomes the first version
+            before = {VERSION: f"{table}__{uuid.uuid4().hex}"}
+            spark.sql(f"ALTER TABLE {table} RENAME TO {before[VERSION]}")
+        before = before or {}
+        properties = f"'{VERSION}' = '{fresh}', '{PREVIOUS}' = '{before.get(VERSION, '')}'"
+        spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS SELECT * FROM {fresh}")
+        if before.get(PREVIOUS):
+            spark.sql(f"DROP TABLE IF EXISTS {before[PREVIOUS]}")
     return spark.table(table)
 
 
