@@ -1,3 +1,5 @@
+from random import Random
+
 import numpy as np
 from llm.corpus import AWKWARD, prose
 
@@ -19,9 +21,8 @@ def test_shared_passages_are_found_and_others_left(docs):
     assert {i for i, *_ in rows} == {10 * k + i for k in range(30) for i in (1, 2, 3)}
     for i, start, stop, first, spare in rows:
         k = i // 10
-        at = texts[i].index(passage[k])
-        # inside the passage but for a chunk that happens to end alike, and most of it
-        assert at - 3 <= start and stop <= at + len(passage[k]) + 3 and stop - start > len(passage[k]) / 3
+        at = texts[i].index(f"é {passage[k]}")
+        assert (start, stop) == (at, at + 2 + len(passage[k]))
         assert first == 10 * k + 1 and (spare == 0) == (i == first)
 
 
@@ -31,9 +32,57 @@ def test_cutting_out(docs):
     df = docs(data)
     left = {r.doc_id: r.text for r in c.without_repeats(df).collect()}
     assert c.without_repeats(df).columns == df.columns and left[11] == data[0][1]
-    assert passage in left[11]
-    assert len(left[12]) < len(data[1][1]) - 300 and left[12].startswith(prose(3, 50))
-    assert left[12].endswith(prose(4, 50))
+    assert left[12] == f"{prose(3, 50)}  {prose(4, 50)}"
+
+
+def common_stretches(texts, least):
+    """By brute force: for each text the longest stretches of ``least`` words or more that another text has."""
+    words = {i: text.split(" ") for i, text in texts.items()}
+    homes = {}
+    for i, own in words.items():
+        for at in range(len(own) - least + 1):
+            homes.setdefault(tuple(own[at : at + least]), set()).add(i)
+    out = set()
+    for i, own in words.items():
+        hit = sorted({k for at in range(len(own) - least + 1) if len(homes[tuple(own[at : at + least])]) > 1 for k in range(at, at + least)})
+        for k in hit:
+            if k - 1 not in hit:
+                last = next(m for m in range(k, len(own)) if m + 1 not in hit)
+                start = len(" ".join(own[:k])) + (k > 0)
+                out.add((i, start, start + len(" ".join(own[k : last + 1])), last + 1 - k))
+    return out
+
+
+def test_all_common_stretches(docs):
+    random, texts = Random(3), {}
+    for k in range(400):
+        passage = prose(("q", k), random.choice([44, 49, 50, 51, 51, 51, 60, 90]))
+        for i in range(random.choice([2, 2, 3, 7])):
+            ends = [prose((k, i, side), random.randrange(40)) for side in "ab"]
+            texts[10 * k + i] = f"{ends[0]} {passage} {ends[1]}".strip(" ")
+    # of one passage others have the first half, the second half and the middle
+    whole = prose("whole", 160)
+    own = whole.split(" ")
+    texts |= {9001: whole, 9002: " ".join(own[:70] + ["q1"]), 9003: " ".join(["q2"] + own[100:]), 9004: " ".join(["q3"] + own[40:125] + ["q4"])}
+    rows = set()
+    for r in c.repeats(docs(list(texts.items()))).collect():
+        found = texts[r.doc_id][r.start : r.stop]  # may end in the blank that all copies have there
+        start = r.start + len(found) - len(found.lstrip(" "))
+        rows.add((r.doc_id, start, start + len(found.strip(" ")), r.n_words))
+    expected = common_stretches(texts, c.MIN_WORDS)
+    assert (rows - expected, expected - rows) == (set(), set())
+
+
+def test_no_passage_of_51_words_lacks_an_anchor():
+    """A chunk between cuts that do not depend on the surroundings; then the ends are found exactly."""
+    gear, lost = c._gear(), 0
+    for k in range(3000):
+        random = Random(k)
+        lead, passage, tail = (" ".join("".join(random.choices("etaoinshrdlu", k=random.choice([2, 3, 3, 4, 5, 6, 7, 9]))) for _ in range(n)) for n in (20, 51, 20))
+        cuts = c.boundaries(np.frombuffer(f"{lead} {passage} {tail}".encode(), np.uint8), np.array([0]), gear)
+        first, last = len(lead) + 1 + c._BEFORE, len(lead) + 1 + len(passage) - c._BEHIND
+        lost += ((cuts >= first) & (cuts <= last)).sum() < 2
+    assert lost == 0
 
 
 def test_copies_and_repeated_rows(docs):
@@ -59,6 +108,10 @@ def test_rolling_hash_against_its_sum():
 
 
 def test_chunks_cover_the_text_and_are_bounded():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 50, 500)
+    for count in (1, 2, 5, 16, 20, 33):
+        assert [min(values[max(0, i - count + 1) : i + 1]) for i in range(500)] == c.lowest(values, count).tolist()
     for text in ("é" * 5000, "ab" * 4000, prose(1, 900), "𐀀x" * 3000):
         data = np.frombuffer(text.encode(), np.uint8)
         cuts = c.boundaries(data, np.array([0]), c._gear())

@@ -1,24 +1,33 @@
-"""Substring deduplication: content-defined chunks, deduplicated by digest.
+"""Substring deduplication: content-defined chunks, deduplicated by digest, extended to the exact passage.
 
-A gear rolling hash over the last ``WINDOW`` bytes decides where a chunk ends, so the same passage is
-cut at the same places wherever it stands and whatever was inserted before it. Chunks are short next
-to a passage worth reporting; chunks in a row that all occur in other documents make one *repeat*, and a
-repeat of at least ``MIN_WORDS`` words is reported.
+A chunk ends where a gear rolling hash over the last ``WINDOW`` bytes is smallest among ``REACH`` bytes on either
+side, so the same passage is cut at the same places wherever it stands and whatever was inserted before it, and hardly
+any 100 bytes go without a cut. Chunks in a row that all occur in other documents make a *run*.
+The chunks across the two ends of a passage differ between documents, so runs are extended: the chunks at
+a run's ends are anchors, every place that has an anchor digests the text between it and each word
+beginning before it (ending behind it), and the farthest word whose digest other documents have too is the passage's end.
+A passage of at least ``MIN_WORDS`` words is reported.
 
 One pass over the texts cuts and digests them; one row per document is written, with its chunks in
 arrays. Digests are then counted: smallest and largest document per digest, combined before the
 shuffle, so a chunk that a third of all documents share costs one row for each task. The chunks
-of repeated digests are found by a join, whose skew Spark splits.
+of repeated digests are found by a join, whose skew Spark splits. Only runs that can reach ``MIN_WORDS`` have anchors,
+an anchor's surroundings are a chunk and some bytes, and their digests are counted like those of chunks;
+no two documents are ever compared.
 
 A NULL or empty text has no chunk; documents without a number cannot be named and are left out;
 rows repeating a document's number are that document again, so they repeat nothing. A passage that repeats
-within one document only is no repeat across documents.
+within one document only is no repeat across documents. Parts of a passage may stand in different documents. Text whose
+hash repeats within ``REACH`` bytes, such as one short word over and over, is cut every ``LONGEST`` bytes from its last cut on and
+found only where that is the same.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,12 +40,17 @@ from touchline.llm.encoding import slices
 from touchline.llm.words import written
 
 WINDOW = 16
-AVERAGE = 32
-SHORTEST = 12
+REACH = 20
 LONGEST = 1024
-MIN_WORDS = 20
+MIN_WORDS = 50
 _SEED = 11
-_CUT = np.uint64(2**64 // AVERAGE)
+_LAST = np.uint64(2**64 - 1)
+
+# Bytes next to a passage's ends where its cuts still depend on what surrounds it. Cuts are more than
+# REACH apart, so of a run's chunks one of the first three and one of the last two lies between common cuts.
+_BEFORE, _BEHIND = WINDOW + REACH, REACH
+_FIRST, _FINAL = 3, 2
+_LEFT, _RIGHT = 1, 2
 
 
 def _gear() -> np.ndarray:
@@ -53,21 +67,35 @@ def rolling(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
     return total
 
 
+def lowest(values: np.ndarray, count: int) -> np.ndarray:
+    """At each place the smallest of the ``count`` values up to it: doubled, then once more for the rest."""
+    total, width = values.copy(), 1
+    while 2 * width <= count:
+        total[width:] = np.minimum(total[width:], total[:-width])
+        width *= 2
+    rest = count - width
+    if rest:
+        further = total.copy()
+        further[rest:] = np.minimum(total[rest:], total[:-rest])
+        total = further
+    return total
+
+
 def boundaries(data: np.ndarray, starts: np.ndarray, gear: np.ndarray) -> np.ndarray:
     """Where chunks begin, texts beginning at ``starts``; sorted."""
-    mixed = rolling(data, gear) * np.uint64(0x9E3779B97F4A7C15)
-    cut = np.zeros(len(data), dtype=bool)
-    cut[1:] = mixed[:-1] < _CUT
-    for near in range(WINDOW):  # there the window would reach into another text
+    # the value of a place is the hash of the bytes before it; room behind the end for the last windows
+    value = np.full(len(data) + REACH + 1, _LAST)
+    value[1 : len(data)] = (rolling(data, gear) * np.uint64(0x9E3779B97F4A7C15))[:-1]
+    for near in range(max(WINDOW, REACH)):  # there a window would reach into another text
         at = starts + near
-        cut[at[at < len(data)]] = False
-    cut &= (data & 0xC0) != 0x80  # never inside a character
+        value[at[at < len(data)]] = _LAST
+    value[: len(data)][(data & 0xC0) == 0x80] = _LAST  # never inside a character
+    around = lowest(value, REACH)
+    own = value[1 : len(data)]
+    cut = np.zeros(len(data), dtype=bool)
+    cut[1:] = (own < around[: len(data) - 1]) & (own <= around[REACH + 1 : len(data) + REACH])
     cut[starts] = True
     found = np.flatnonzero(cut)
-    # of places close to each other the first counts; that still depends on nearby bytes only
-    begins = np.zeros(len(data), dtype=bool)
-    begins[starts] = True
-    found = found[np.append(True, np.diff(found) >= SHORTEST) | begins[found]]
     gaps = np.diff(np.append(found, len(data)))
     long = np.flatnonzero(gaps > LONGEST)
     if len(long):
@@ -82,8 +110,12 @@ def packed_place(start: np.ndarray, size: np.ndarray, words: np.ndarray) -> np.n
     return (start << 32) | (size << 16) | words
 
 
+def packed_around(before: np.ndarray, behind: np.ndarray, words_before: np.ndarray, words_behind: np.ndarray) -> np.ndarray:
+    return (before << 48) | (behind << 32) | (words_before << 16) | words_behind
+
+
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` to ``doc_id, places, digests``; places in code points."""
+    """``doc_id, text`` to ``doc_id, places, around, digests``; places in code points."""
     gear, digest = _gear(), xxhash.xxh3_64_intdigest
     for batch in slices(batches, 4 * 1024 * 1024):
         texts = batch.column(1).cast(pa.large_string()).fill_null("")
@@ -109,82 +141,207 @@ def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         origin = points[(ends - sizes)]
         owner = np.searchsorted(ends, found, side="right")
         place = packed_place(points[found] - origin[owner], points[stops] - points[found], words[stops] - words[found])
+        # what surrounds a chunk: the one before it and the one behind it, with the bytes that cuts depend on
+        origins, limits = (ends - sizes)[owner], ends[owner]
+        before = np.maximum(np.where(found > origins, np.append(0, found[:-1]), found) - _BEFORE, origins)
+        before = np.where(found > origins, before, found)
+        behind = np.where(stops < limits, np.minimum(np.append(stops[1:], len(data)) + _BEHIND, limits), stops)
+        around = packed_around(points[found] - points[before], points[behind] - points[stops], words[found] - words[before], words[behind] - words[stops])
         codes = np.fromiter((digest(whole[a:b]) for a, b in zip(found.tolist(), stops.tolist(), strict=True)), dtype=np.uint64, count=len(found))
         offsets = pa.array(np.searchsorted(found, np.append(0, ends)).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.ListArray.from_arrays(offsets, pa.array(place, pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(around, pa.int64())),
                 pa.ListArray.from_arrays(offsets, pa.array(codes.view(np.int64), pa.int64())),
             ],
-            names=["doc_id", "places", "digests"],
+            names=["doc_id", "places", "around", "digests"],
         )
 
 
-def _spare(run: list, doc_id: int) -> list[tuple[int, int, int]]:
-    """Stretches of at least ``MIN_WORDS`` words whose chunks all stand in earlier documents."""
-    out: list[list[int]] = []
-    for start, stop, words, first in run:
-        if first == doc_id:
-            continue
-        if out and out[-1][1] == start:
-            out[-1][1], out[-1][2] = stop, out[-1][2] + words
+@dataclass(frozen=True)
+class Chunk:
+    start: int
+    stop: int
+    words: int
+    around: int
+    digest: int
+    first: int
+
+
+def _in_a_row(chunks: Iterable[Chunk]) -> list[list[Chunk]]:
+    out: list[list[Chunk]] = []
+    for chunk in chunks:
+        if out and out[-1][-1].stop == chunk.start:
+            out[-1].append(chunk)
         else:
-            out.append([start, stop, words])
-    return [tuple(part) for part in out if part[2] >= MIN_WORDS]
+            out.append([chunk])
+    return out
+
+
+def _runs(chunks: Iterable) -> list[list[Chunk]]:
+    """The repeated chunks of a document, those next to each other together."""
+    told = sorted({(int(c["place"]), int(c["around"]), int(c["digest"]), int(c["first"])) for c in chunks})
+    return _in_a_row(Chunk(p >> 32, (p >> 32) + ((p >> 16) & 0xFFFF), p & 0xFFFF, a, d, f) for p, a, d, f in told)
+
 
+def _spare(run: list[Chunk], doc_id: int) -> list[list[Chunk]]:
+    """The parts of a run whose chunks all stand in earlier documents."""
+    return _in_a_row(chunk for chunk in run if chunk.first != doc_id)
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Chunks in a row become repeats; those long enough are kept."""
+
+def _reaches(run: list[Chunk]) -> bool:
+    """Whether a run can have ``MIN_WORDS`` words once it is extended."""
+    return sum(c.words for c in run) + ((run[0].around >> 16) & 0xFFFF) + (run[-1].around & 0xFFFF) >= MIN_WORDS
+
+
+def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Digests whose surroundings are asked for, and on which sides."""
     for batch in batches:
-        out = []
+        sides: dict[int, int] = {}
         for doc_id, chunks in zip(batch["doc_id"], batch["chunks"], strict=True):
-            chunks = sorted({(int(chunk["place"]), int(chunk["first"])) for chunk in chunks})
-            run: list = []
-            for place, first in [*chunks, (None, None)]:
-                start = None if place is None else place >> 32
-                if run and start != run[-1][1]:
-                    words = sum(chunk[2] for chunk in run)
-                    if words >= MIN_WORDS:
-                        spare = _spare(run, doc_id)
-                        # the document that most of it is first found in
-                        firsts = Counter()
-                        for chunk in run:
-                            firsts[chunk[3]] += chunk[2]
-                        main = min(firsts, key=lambda first: (-firsts[first], first))
-                        out.append((doc_id, run[0][0], run[-1][1], words, main, sum(n for _, _, n in spare), [[a, b] for a, b, _ in spare]))
-                    run = []
-                if place is not None:
-                    run.append((start, start + ((place >> 16) & 0xFFFF), place & 0xFFFF, first))
+            for run in _runs(chunks):
+                for part in [run, *_spare(run, doc_id)] if _reaches(run) else []:
+                    if _reaches(part):
+                        for chunk in part[:_FIRST]:
+                            sides[chunk.digest] = sides.get(chunk.digest, 0) | _LEFT
+                        for chunk in part[-_FINAL:]:
+                            sides[chunk.digest] = sides.get(chunk.digest, 0) | _RIGHT
+        yield pd.DataFrame({"digest": list(sides.keys()), "sides": list(sides.values())}, dtype="int64")
+
+
+def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, text, anchors`` to a row for each word beginning before an anchor and each ending behind it.
+
+    ``at`` is that place, ``n`` the words begun between it and the anchor, ``key`` digests the text between them.
+    """
+    word, digest = re.compile(r"[^\x20\x09-\x0D]+"), xxhash.xxh3_64_intdigest
+    names = ["doc_id", "start", "side", "at", "n", "key"]
+
+    def keys(text: str, anchor: dict) -> Iterator[tuple[int, int, int, int]]:
+        start, size, around = anchor["place"] >> 32, (anchor["place"] >> 16) & 0xFFFF, anchor["around"]
+        stop, seed = start + size, anchor["digest"] & 0xFFFFFFFFFFFFFFFF
+        # rows that repeat a document's number may have another text
+        if digest(text[start:stop].encode("utf-8", "surrogatepass")) != seed:
+            return
+        if anchor["sides"] & _LEFT:
+            begin = start - (around >> 48)
+            begins = [m.start() + begin for m in word.finditer(text[begin:start])]
+            if begins and begins[0] == begin > 0 and word.match(text[begin - 1]):
+                del begins[0]
+            for n, at in enumerate(reversed(begins), 1):
+                yield _LEFT, at, n, digest(text[at:start].encode("utf-8", "surrogatepass"), seed)
+        if anchor["sides"] & _RIGHT:
+            end = stop + ((around >> 32) & 0xFFFF)
+            n = 0
+            for m in word.finditer(text[stop:end]):
+                n += m.start() > 0 or not word.match(text[stop - 1])
+                at = m.end() + stop
+                if at < end or end == len(text) or not word.match(text[end]):
+                    yield _RIGHT, at, n, digest(text[stop:at].encode("utf-8", "surrogatepass"), seed ^ 0xFFFFFFFFFFFFFFFF)
+
+    for batch in slices(batches, 4 * 1024 * 1024):
+        columns: list[list[int]] = [[] for _ in names]
+        for doc_id, text, anchors in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for anchor in anchors if text else ():
+                for side, at, n, key in keys(text, anchor):
+                    for column, value in zip(columns, (doc_id, anchor["place"] >> 32, side, at, n, key - ((key >> 63) << 64)), strict=True):
+                        column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names=names)
+
+
+def _extended(part: list[Chunk], reach: dict[tuple[int, int], tuple[int, int]]) -> tuple[int, int, int]:
+    """Start, stop and words of chunks in a row together with what ``reach`` adds at their ends."""
+    start, stop, words = part[0].start, part[-1].stop, sum(chunk.words for chunk in part)
+    added, inside = 0, 0
+    for chunk in part[:_FIRST]:
+        n, at = reach.get((chunk.start, _LEFT), (0, chunk.start))
+        if at < start:
+            start, added = at, n - inside
+        inside += chunk.words
+    words += added
+    added, inside = 0, 0
+    for chunk in reversed(part[-_FINAL:]):
+        n, at = reach.get((chunk.start, _RIGHT), (0, chunk.stop))
+        if at > stop:
+            stop, added = at, n - inside
+        inside += chunk.words
+    return start, stop, words + added
+
+
+def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs become passages; those long enough are kept."""
+    for batch in batches:
+        out = []
+        for doc_id, chunks, reaches in zip(batch["doc_id"], batch["chunks"], batch["reaches"], strict=True):
+            some, earlier = {}, {}
+            for r in reaches if reaches is not None else ():
+                some[r["start"], r["side"]] = (r["some"]["n"], r["some"]["at"])
+                if r["earlier"] is not None:
+                    earlier[r["start"], r["side"]] = (r["earlier"]["n"], r["earlier"]["at"])
+            for run in _runs(chunks):
+                start, stop, words = _extended(run, some)
+                if words < MIN_WORDS:
+                    continue
+                spare = [_extended(part, earlier) for part in _spare(run, doc_id)]
+                spare = [part for part in spare if part[2] >= MIN_WORDS]
+                # the document that most of it is first found in
+                firsts = Counter()
+                for chunk in run:
+                    firsts[chunk.first] += chunk.words
+                main = min(firsts, key=lambda first: (-firsts[first], first))
+                out.append((doc_id, start, stop, words, main, sum(n for _, _, n in spare), [[a, b] for a, b, _ in spare]))
         yield pd.DataFrame(out, columns=["doc_id", "start", "stop", "n_words", "first_doc_id", "n_spare_words", "spare"])
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each passage that other documents repeat, in each document that has it.
 
-    ``doc_id, start, stop`` (code points, end exclusive), ``n_words``; ``first_doc_id`` is the
+    ``doc_id, start, stop`` (code points, end exclusive; a blank that its copies share may stand at either end), ``n_words``; ``first_doc_id`` is the
     document most of it is first found in; ``spare`` are the parts that earlier documents have, ``n_spare_words`` their words.
     """
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    cut = written(slim.mapInArrow(chunker, "doc_id long, places array<bigint>, digests array<bigint>"), "chunks")
+    lists = "doc_id long, places array<bigint>, around array<bigint>, digests array<bigint>"
+    cut = written(slim.mapInArrow(chunker, lists), "chunks")
     digests = cut.select("doc_id", F.explode("digests").alias("digest"))
-    shared = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    shared = written(shared.select("digest", "first"), "shared")
-    chunks = cut.select("doc_id", F.explode(F.arrays_zip("places", "digests")).alias("c")).select(
-        "doc_id", F.col("c.places").alias("place"), F.col("c.digests").alias("digest")
+    shared = written(_shared(digests, "digest").select("digest", "first"), "shared")
+    chunks = cut.select("doc_id", F.explode(F.arrays_zip("places", "around", "digests")).alias("c")).select(
+        "doc_id", F.col("c.places").alias("place"), F.col("c.around").alias("around"), F.col("c.digests").alias("digest")
     )
-    found = chunks.join(shared, "digest").groupBy("doc_id").agg(F.collect_list(F.struct("place", "first")).alias("chunks"))
-    return found.mapInPandas(
-        _runs,
+    chunk = F.struct("place", "around", "digest", "first")
+    found = written(chunks.join(shared, "digest").groupBy("doc_id").agg(F.collect_list(chunk).alias("chunks")), "found")
+
+    wanted = found.mapInPandas(_anchors, "digest long, sides long").groupBy("digest").agg(F.bit_or("sides").alias("sides"))
+    wanted = written(wanted, "anchors")
+    places = found.select("doc_id", F.explode("chunks").alias("c")).select("doc_id", "c.place", "c.around", "c.digest").join(wanted, "digest")
+    places = places.groupBy("doc_id").agg(F.collect_set(F.struct("place", "around", "digest", "sides")).alias("anchors"))
+    keys = slim.join(places, "doc_id").mapInArrow(surroundings, "doc_id long, start long, side long, at long, n long, key long")
+    keys = written(keys, "keys")
+    reach = F.struct("n", "at")
+    reaches = (
+        keys.join(_shared(keys, "key").select("key", "first"), "key")
+        .groupBy("doc_id", "start", "side")
+        .agg(F.max(reach).alias("some"), F.max(F.when(F.col("first") < F.col("doc_id"), reach)).alias("earlier"))
+    )
+    reaches = reaches.groupBy("doc_id").agg(F.collect_list(F.struct("start", "side", "some", "earlier")).alias("reaches"))
+    return found.join(reaches, "doc_id", "left").select("doc_id", "chunks", "reaches").mapInPandas(
+        _passages,
         "doc_id long, start long, stop long, n_words long, first_doc_id long, n_spare_words long, spare array<array<bigint>>",
     )
 
 
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that several documents have, with the first and the last of these."""
+    return rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the spare parts of repeats cut out of their texts: a passage stays in its first document."""
     names = docs.columns
     rows = docs.toDF(*[f"__d{i}" for i in range(len(names))])
     number, words = f"__d{names.index(doc_id)}", f"__d{names.index(text)}"
+    # neighbours may overlap by some words, but passages are too long for one to lie in another
     spare = repeats(docs, doc_id, text).select("doc_id", F.explode("spare").alias("part"))
     spare = written(spare.groupBy("doc_id").agg(F.sort_array(F.collect_set("part")).alias("parts")), "spare")
     joined = rows.join(spare, rows[number].cast("long") == spare["doc_id"], "left")
