@@ -50,7 +50,7 @@ _LAST = np.uint64(2**64 - 1)
 # REACH apart, so of a run's chunks one of the first three and one of the last two lies between common cuts.
 _BEFORE, _BEHIND = WINDOW + REACH, REACH
 _FIRST, _FINAL = 3, 2
-_LEFT, _RIGHT = 1, 2
+_LEFT, _RIGHT = 0, 1
 
 
 def _gear() -> np.ndarray:
@@ -169,6 +169,14 @@ class Chunk:
     digest: int
     first: int
 
+    @property
+    def before(self) -> int:
+        return self.around >> 48
+
+    @property
+    def behind(self) -> int:
+        return (self.around >> 32) & 0xFFFF
+
 
 def _in_a_row(chunks: Iterable[Chunk]) -> list[list[Chunk]]:
     out: list[list[Chunk]] = []
@@ -183,7 +191,7 @@ def _in_a_row(chunks: Iterable[Chunk]) -> list[list[Chunk]]:
 def _runs(chunks: Iterable) -> list[list[Chunk]]:
     """The repeated chunks of a document, those next to each other together."""
     told = sorted({(int(c["place"]), int(c["around"]), int(c["digest"]), int(c["first"])) for c in chunks})
-    return _in_a_row(Chunk(p >> 32, (p >> 32) + ((p >> 16) & 0xFFFF), p & 0xFFFF, a, d, f) for p, a, d, f in told)
+    return _in_a_row(Chunk(*_unpacked(place), around, digest, first) for place, around, digest, first in told)
 
 
 def _spare(run: list[Chunk], doc_id: int) -> list[list[Chunk]]:
@@ -196,76 +204,93 @@ def _reaches(run: list[Chunk]) -> bool:
     return sum(c.words for c in run) + ((run[0].around >> 16) & 0xFFFF) + (run[-1].around & 0xFFFF) >= MIN_WORDS
 
 
+def _asked(part: list[Chunk]) -> Iterator[tuple[int, int, int]]:
+    """``digest, side, distance``: what lies farther than that from the chunk lies beyond the part."""
+    for chunk in part[:_FIRST]:
+        if chunk.before > chunk.start - part[0].start:
+            yield chunk.digest, _LEFT, chunk.start - part[0].start
+    for chunk in part[-_FINAL:]:
+        if chunk.behind > part[-1].stop - chunk.stop:
+            yield chunk.digest, _RIGHT, part[-1].stop - chunk.stop
+
+
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Digests whose surroundings are asked for, and on which sides."""
+    """Digests whose surroundings are asked for, with the distance from which on they are on either side."""
     for batch in batches:
-        sides: dict[int, int] = {}
+        nearest: dict[tuple[int, int], int] = {}
         for doc_id, chunks in zip(batch["doc_id"], batch["chunks"], strict=True):
             for run in _runs(chunks):
                 for part in [run, *_spare(run, doc_id)] if _reaches(run) else []:
-                    if _reaches(part):
-                        for chunk in part[:_FIRST]:
-                            sides[chunk.digest] = sides.get(chunk.digest, 0) | _LEFT
-                        for chunk in part[-_FINAL:]:
-                            sides[chunk.digest] = sides.get(chunk.digest, 0) | _RIGHT
-        yield pd.DataFrame({"digest": list(sides.keys()), "sides": list(sides.values())}, dtype="int64")
+                    for digest, side, distance in _asked(part) if _reaches(part) else ():
+                        nearest[digest, side] = min(distance, nearest.get((digest, side), distance))
+        out = [(digest, *((distance, None) if side == _LEFT else (None, distance))) for (digest, side), distance in nearest.items()]
+        yield pd.DataFrame(out, columns=["digest", "left", "right"]).astype({"digest": "int64", "left": "Int64", "right": "Int64"})
 
 
 def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text, anchors`` to a row for each word beginning before an anchor and each ending behind it.
 
-    ``at`` is that place, ``n`` the words begun between it and the anchor, ``key`` digests the text between them.
+    ``key`` digests the text between them; ``word`` is the side, the distance in code points and the words begun in it.
     """
     word, digest = re.compile(r"[^\x20\x09-\x0D]+"), xxhash.xxh3_64_intdigest
-    names = ["doc_id", "start", "side", "at", "n", "key"]
+    names = ["doc_id", "start", "word", "key"]
 
-    def keys(text: str, anchor: dict) -> Iterator[tuple[int, int, int, int]]:
-        start, size, around = anchor["place"] >> 32, (anchor["place"] >> 16) & 0xFFFF, anchor["around"]
-        stop, seed = start + size, anchor["digest"] & 0xFFFFFFFFFFFFFFFF
+    def keys(text: str, anchor: dict) -> Iterator[tuple[int, int]]:
+        chunk = Chunk(*_unpacked(anchor["place"]), anchor["around"], anchor["digest"], 0)
+        start, stop, seed = chunk.start, chunk.stop, chunk.digest & 0xFFFFFFFFFFFFFFFF
         # rows that repeat a document's number may have another text
         if digest(text[start:stop].encode("utf-8", "surrogatepass")) != seed:
             return
-        if anchor["sides"] & _LEFT:
-            begin = start - (around >> 48)
+        if anchor["left"] is not None:
+            begin = start - chunk.before
             begins = [m.start() + begin for m in word.finditer(text[begin:start])]
             if begins and begins[0] == begin > 0 and word.match(text[begin - 1]):
                 del begins[0]
             for n, at in enumerate(reversed(begins), 1):
-                yield _LEFT, at, n, digest(text[at:start].encode("utf-8", "surrogatepass"), seed)
-        if anchor["sides"] & _RIGHT:
-            end = stop + ((around >> 32) & 0xFFFF)
-            n = 0
+                if start - at > anchor["left"]:
+                    yield _packed_word(_LEFT, start - at, n), digest(text[at:start].encode("utf-8", "surrogatepass"), seed)
+        if anchor["right"] is not None:
+            end, n = stop + chunk.behind, 0
             for m in word.finditer(text[stop:end]):
                 n += m.start() > 0 or not word.match(text[stop - 1])
                 at = m.end() + stop
-                if at < end or end == len(text) or not word.match(text[end]):
-                    yield _RIGHT, at, n, digest(text[stop:at].encode("utf-8", "surrogatepass"), seed ^ 0xFFFFFFFFFFFFFFFF)
+                if at - stop > anchor["right"] and (at < end or end == len(text) or not word.match(text[end])):
+                    yield _packed_word(_RIGHT, at - stop, n), digest(text[stop:at].encode("utf-8", "surrogatepass"), seed ^ 0xFFFFFFFFFFFFFFFF)
 
     for batch in slices(batches, 4 * 1024 * 1024):
         columns: list[list[int]] = [[] for _ in names]
         for doc_id, text, anchors in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             for anchor in anchors if text else ():
-                for side, at, n, key in keys(text, anchor):
-                    for column, value in zip(columns, (doc_id, anchor["place"] >> 32, side, at, n, key - ((key >> 63) << 64)), strict=True):
+                for at, key in keys(text, anchor):
+                    for column, value in zip(columns, (doc_id, anchor["place"] >> 32, at, key - ((key >> 63) << 64)), strict=True):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names=names)
 
 
-def _extended(part: list[Chunk], reach: dict[tuple[int, int], tuple[int, int]]) -> tuple[int, int, int]:
+def _unpacked(place: int) -> tuple[int, int, int]:
+    start, size = place >> 32, (place >> 16) & 0xFFFF
+    return start, start + size, place & 0xFFFF
+
+
+def _packed_word(side: int, distance: int, n: int) -> int:
+    return (side << 32) | (distance << 16) | n
+
+
+def _extended(part: list[Chunk], reach: dict[tuple[int, int], int]) -> tuple[int, int, int]:
     """Start, stop and words of chunks in a row together with what ``reach`` adds at their ends."""
     start, stop, words = part[0].start, part[-1].stop, sum(chunk.words for chunk in part)
     added, inside = 0, 0
     for chunk in part[:_FIRST]:
-        n, at = reach.get((chunk.start, _LEFT), (0, chunk.start))
-        if at < start:
-            start, added = at, n - inside
+        far = reach.get((chunk.start, _LEFT), 0)
+        if chunk.start - ((far >> 16) & 0xFFFF) < start:
+            start, added = chunk.start - ((far >> 16) & 0xFFFF), (far & 0xFFFF) - inside
         inside += chunk.words
     words += added
     added, inside = 0, 0
     for chunk in reversed(part[-_FINAL:]):
-        n, at = reach.get((chunk.start, _RIGHT), (0, chunk.stop))
-        if at > stop:
-            stop, added = at, n - inside
+        far = reach.get((chunk.start, _RIGHT), 0)
+        if chunk.stop + ((far >> 16) & 0xFFFF) > stop:
+            stop, added = chunk.stop + ((far >> 16) & 0xFFFF), (far & 0xFFFF) - inside
         inside += chunk.words
     return start, stop, words + added
 
@@ -277,9 +302,8 @@ def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, chunks, reaches in zip(batch["doc_id"], batch["chunks"], batch["reaches"], strict=True):
             some, earlier = {}, {}
             for r in reaches if reaches is not None else ():
-                some[r["start"], r["side"]] = (r["some"]["n"], r["some"]["at"])
-                if r["earlier"] is not None:
-                    earlier[r["start"], r["side"]] = (r["earlier"]["n"], r["earlier"]["at"])
+                some[r["start"], r["side"]] = r["some"]
+                earlier[r["start"], r["side"]] = r["earlier"]
             for run in _runs(chunks):
                 start, stop, words = _extended(run, some)
                 if words < MIN_WORDS:
@@ -312,17 +336,16 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     chunk = F.struct("place", "around", "digest", "first")
     found = written(chunks.join(shared, "digest").groupBy("doc_id").agg(F.collect_list(chunk).alias("chunks")), "found")
 
-    wanted = found.mapInPandas(_anchors, "digest long, sides long").groupBy("digest").agg(F.bit_or("sides").alias("sides"))
-    wanted = written(wanted, "anchors")
-    places = found.select("doc_id", F.explode("chunks").alias("c")).select("doc_id", "c.place", "c.around", "c.digest").join(wanted, "digest")
-    places = places.groupBy("doc_id").agg(F.collect_set(F.struct("place", "around", "digest", "sides")).alias("anchors"))
-    keys = slim.join(places, "doc_id").mapInArrow(surroundings, "doc_id long, start long, side long, at long, n long, key long")
-    keys = written(keys, "keys")
-    reach = F.struct("n", "at")
+    asked = found.mapInPandas(_anchors, "digest long, left long, right long")
+    asked = written(asked.groupBy("digest").agg(F.min("left").alias("left"), F.min("right").alias("right")), "anchors")
+    places = found.select("doc_id", F.explode("chunks").alias("c")).select("doc_id", "c.place", "c.around", "c.digest").join(asked, "digest")
+    places = places.filter("shiftright(around, 48) > left OR (shiftright(around, 32) & 65535) > right")
+    places = places.groupBy("doc_id").agg(F.collect_set(F.struct("place", "around", "digest", "left", "right")).alias("anchors"))
+    keys = written(slim.join(places, "doc_id").mapInArrow(surroundings, "doc_id long, start long, word long, key long"), "keys")
     reaches = (
         keys.join(_shared(keys, "key").select("key", "first"), "key")
-        .groupBy("doc_id", "start", "side")
-        .agg(F.max(reach).alias("some"), F.max(F.when(F.col("first") < F.col("doc_id"), reach)).alias("earlier"))
+        .groupBy("doc_id", "start", F.expr("shiftright(word, 32)").alias("side"))
+        .agg(F.max("word").alias("some"), F.max(F.when(F.col("first") < F.col("doc_id"), F.col("word")).otherwise(0)).alias("earlier"))
     )
     reaches = reaches.groupBy("doc_id").agg(F.collect_list(F.struct("start", "side", "some", "earlier")).alias("reaches"))
     return found.join(reaches, "doc_id", "left").select("doc_id", "chunks", "reaches").mapInPandas(
